@@ -13,12 +13,14 @@ from riskmart.operators.report import best_model, registry_long
 
 
 def save_model(model: PipelineModel, root: str, name: str, features: Sequence[str],
-               settings: config.ModelSettings, spark: SparkSession) -> None:
-    """Save the fitted pipeline and its metadata row (features in matrix order, parameters, time)."""
+               medians: Sequence[float], settings: config.ModelSettings, spark: SparkSession) -> None:
+    """Save the fitted pipeline and its metadata row: features in matrix order, their training
+    medians, parameters, time."""
     model.write().overwrite().save(f"{root}/models/{name}")
     parameters = {k: str(v) for k, v in asdict(settings).items()}
     spark.range(1).select(
         F.lit(name).alias("model_name"), F.array(*[F.lit(c) for c in features]).alias("features"),
+        F.array(*[F.lit(m).cast("double") for m in medians]).alias("medians"),
         F.create_map(*[F.lit(x) for pair in parameters.items() for x in pair]).alias("params"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("trained_at"),
     ).write.mode("overwrite").parquet(f"{root}/metadata/{name}")
@@ -40,8 +42,8 @@ def read_registry(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/registry_metrics")
 
 
-def load_best_model(spark: SparkSession, root: str) -> tuple[str, PipelineModel, list[str]]:
-    """Name, pipeline and feature order of the selected model."""
+def load_best_model(spark: SparkSession, root: str) -> tuple[str, PipelineModel, dict[str, float]]:
+    """Name and pipeline of the selected model, and its features in order with their training medians."""
     name = spark.read.parquet(f"{root}/registry_best").first()["model_name"]
-    features = spark.read.parquet(f"{root}/metadata/{name}").first()["features"]
-    return name, PipelineModel.load(f"{root}/models/{name}"), list(features)
+    meta = spark.read.parquet(f"{root}/metadata/{name}").first()
+    return name, PipelineModel.load(f"{root}/models/{name}"), dict(zip(meta["features"], meta["medians"]))

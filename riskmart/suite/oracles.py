@@ -334,7 +334,7 @@ from loans where snapshot_date = date '1998-06-01'""")
 
 ORACLES["bronze_roundtrip"] = sql("loans", f"""
 select {day("snapshot_date")}, count(*) as row_count, count(distinct loan_id) as loan_count,
-  round(sum(balance), 2) as balance, count(overdue_amt) as overdue_present
+  cast(sum(cast(round(balance * 1000) as bigint)) as bigint) as balance_mills, count(overdue_amt) as overdue_present
 from loans group by snapshot_date""")
 
 ORACLES["overwrite_idempotent"] = sql("s_loans_dpd", f"""
@@ -555,8 +555,8 @@ ORACLES["psi_bins"] = sql("hist_scores", f"""
 select {day("snapshot_date")}, cast(bin as int) as bin, c as bin_count, {r6("c / n::double", "share")} from hist_scores""")
 ORACLES["psi_by_snapshot"] = sql("hist_scores", f"""
 select {day("snapshot_date")}, {r6("psi", "psi")} from ({psi_sum(
-    "hist_scores", "(select * from hist_scores where snapshot_date = (select min(snapshot_date) from hist_scores))", "true",
-    "n.snapshot_date")}) t""")
+    "hist_scores", "(select bin, c, n from hist_scores where snapshot_date = (select min(snapshot_date) from hist_scores))", "true",
+    "snapshot_date")}) t""")
 ORACLES["score_density"] = sql("scores", f"""
 select {day("snapshot_date")}, bin, {r6("lo + bin * w", "bin_start")}, count(*) as bin_count, {r6("count(*) / (n * w)", "density")}
 from (select *, cast(case when p < lo + g * w then g - 1 when p >= lo + (g + 1) * w and g <> 49 then g + 1 else g end as int) as bin

@@ -68,7 +68,7 @@ def bronze_roundtrip(spark, sf_dir):
     bronze = snapshots.read_snapshots(spark, path, snapshots.text_schema(LOAN_COLUMNS))
     return bronze.groupBy("snapshot_date").agg(
         F.count("*").alias("row_count"), F.countDistinct("loan_id").alias("loan_count"),
-        F.round(F.sum(F.col("balance").cast("double")), 2).alias("balance"),
+        F.sum(F.round(F.col("balance").cast("double") * 1000).cast("bigint")).alias("balance_mills"),
         F.count("overdue_amt").alias("overdue_present"))
 
 
@@ -183,7 +183,7 @@ def cast_report(spark, sf_dir):
 
 @query
 def dq_missing(spark, sf_dir):
-    return quality.missing_values(tables.features(spark, sf_dir))
+    return quality.missing_values(tables.gold_features(spark, sf_dir))
 
 
 @query
@@ -218,7 +218,7 @@ def dq_shape(spark, sf_dir):
 @query
 def split_features(spark, sf_dir):
     """Feature rows of one closed range of snapshots."""
-    rows = snapshots.in_range(tables.features(spark, sf_dir), *tables.SPLITS["validation"])
+    rows = snapshots.in_range(tables.gold_features(spark, sf_dir), *tables.SPLITS["validation"])
     return rows.select("loan_id", "Customer_ID", "snapshot_date", "loan_amt", "customer_age", "Annual_Income")
 
 
@@ -237,7 +237,7 @@ def rolling_split_counts(spark, sf_dir):
 
 
 def _training(spark, sf_dir, **options):
-    return prep.training_set(tables.features(spark, sf_dir), tables.labels(spark, sf_dir), tables.SPLITS, **options)
+    return prep.training_set(tables.gold_features(spark, sf_dir), tables.gold_labels(spark, sf_dir), tables.SPLITS, **options)
 
 
 @query
@@ -266,19 +266,19 @@ def train_matrix(spark, sf_dir):
 
 @query
 def inference_matrix(spark, sf_dir):
-    return prep.inference_matrix(tables.features(spark, sf_dir), ("Interest_Rate",) + tables.FEATURES)
+    return prep.inference_matrix(tables.gold_features(spark, sf_dir), ("Interest_Rate",) + tables.FEATURES)
 
 
 @query
 def feature_medians(spark, sf_dir):
     """Exact medians of every feature in every snapshot."""
-    return stats.exact_medians(tables.features(spark, sf_dir), tables.FEATURES, ["snapshot_date"])
+    return stats.exact_medians(tables.gold_features(spark, sf_dir), tables.FEATURES, ["snapshot_date"])
 
 
 @query
 def imputed_features(spark, sf_dir):
     """Scoring matrix, missing values filled per snapshot."""
-    rows = prep.inference_matrix(tables.features(spark, sf_dir), tables.FEATURES)
+    rows = prep.inference_matrix(tables.gold_features(spark, sf_dir), tables.FEATURES)
     return stats.impute_scoring(rows, tables.FEATURES, ["snapshot_date"])
 
 
@@ -565,7 +565,7 @@ def _trained_root(spark, sf_dir):
     """Mart features, trained and registered once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _roots:
-        frame, columns = training.model_frame(tables.features(spark, sf_dir), tables.labels(spark, sf_dir),
+        frame, columns = training.model_frame(tables.gold_features(spark, sf_dir), tables.gold_labels(spark, sf_dir),
                                               tables.SPLITS, tables.FEATURES[:10])
         root = new_path(spark, "registry")
         training.train_all(frame, columns, root, ("LogisticRegression", "RandomForest"))
@@ -586,7 +586,7 @@ def registry_long(spark, sf_dir):
 def score_range(spark, sf_dir):
     """The selected model scores a range of snapshots into the predictions table."""
     root, path = _trained_root(spark, sf_dir), new_path(spark, "scored")
-    features = tables.features(spark, sf_dir)
+    features = tables.gold_features(spark, sf_dir)
     scoring.score_range(features, root, path, *tables.SPLITS["oot"])
     return scoring.scored_summary(spark.read.parquet(path))
 
@@ -594,5 +594,5 @@ def score_range(spark, sf_dir):
 @query
 def score_best(spark, sf_dir):
     """Scored rows of the out-of-time snapshots."""
-    rows = scoring.score_snapshots(tables.features(spark, sf_dir), _trained_root(spark, sf_dir), *tables.SPLITS["oot"])
+    rows = scoring.score_snapshots(tables.gold_features(spark, sf_dir), _trained_root(spark, sf_dir), *tables.SPLITS["oot"])
     return rows.select("loan_id", "Customer_ID", "prediction_proba", "prediction_label", "threshold", "inference_date")

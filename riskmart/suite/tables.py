@@ -30,6 +30,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_stored: dict[tuple, DataFrame] = {}
+
+
+def stored(spark, sf_dir, name, build) -> DataFrame:
+    """A derived table that later queries of the session read instead of deriving it again."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        _stored[key] = written(build(), name)
+    return _stored[key]
+
+
 def loans(spark, sf_dir) -> DataFrame:
     """Eleven monthly instalments per order, some of them overdue."""
     start = F.expr("cast(date_trunc('month', o_orderdate) as date)")
@@ -113,6 +124,15 @@ def labels(spark, sf_dir) -> DataFrame:
     return label_store(silver_loans(spark, sf_dir))
 
 
+def gold_features(spark, sf_dir) -> DataFrame:
+    """The feature store as a stored table, as training and scoring find it."""
+    return stored(spark, sf_dir, "feature-store", lambda: features(spark, sf_dir))
+
+
+def gold_labels(spark, sf_dir) -> DataFrame:
+    return stored(spark, sf_dir, "label-store", lambda: labels(spark, sf_dir))
+
+
 _LABEL = "case when (event_id * 37 + user_id * 11) % 10 < 3 then 1 else 0 end"
 
 
@@ -161,17 +181,6 @@ def vectors(spark, sf_dir) -> DataFrame:
 
 VECTOR_FEATURES = [f"x_{i + 1}" for i in range(64)]
 
-_stored: dict[tuple, DataFrame] = {}
-
-
-def stored(spark, sf_dir, name, build) -> DataFrame:
-    """A derived table that later queries of the session read instead of deriving it again."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _stored:
-        _stored[key] = written(build(), name)
-    return _stored[key]
-
-
 def report(spark, sf_dir) -> DataFrame:
     return monitoring_report(predictions(spark, sf_dir), observed_labels(spark, sf_dir))
 
