@@ -96,8 +96,3 @@ def nan_to_null(c: Column) -> Column:
     """NaN becomes null: Spark orders NaN above every number, so it must not reach a comparison."""
     value = c.cast("double")
     return F.when(F.isnan(value), None).otherwise(value)
-
-
-def numeric_or_null(c: Column) -> Column:
-    """Coerce to double, null where that is impossible."""
-    return c.try_cast("double")

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from riskmart import config
-from riskmart.functions.cleaning import finite, numeric_or_null
 from riskmart.functions.dates import rolling_split_name, split_name
 
 IDS = ("loan_id", "Customer_ID")
@@ -79,5 +78,10 @@ def inference_matrix(df: DataFrame, features: Sequence[str]) -> DataFrame:
     lacking = [c for c in IDS if c not in df.columns]
     if lacking:
         raise ValueError(f"identifier columns missing from the feature snapshot: {lacking}")
-    columns = [finite(numeric_or_null(F.col(c) if c in df.columns else F.lit(None))).alias(c) for c in features]
-    return df.select(*IDS, "snapshot_date", *columns)
+
+    def number(c):
+        value = f"try_cast(`{c}` as double)"
+        return f"if(isnan({value}) or abs({value}) = double('Infinity'), null, {value}) as `{c}`"
+
+    return df.selectExpr(*IDS, "snapshot_date", *[
+        number(c) if c in df.columns else f"cast(null as double) as `{c}`" for c in features])

@@ -395,6 +395,14 @@ ORACLES["default_rate"] = sql("label_rows", f"""
 select {day("snapshot_date")}, count(label) as n_rows, cast(sum(label) as bigint) as defaults, {r6("avg(label)", "default_rate")}
 from label_rows group by snapshot_date""")
 
+ORACLES["medallion_backfill"] = sql("features label_rows", f"""
+select strftime(coalesce(f.snapshot_date, l.snapshot_date), '%Y-%m-%d') as snapshot_date, feature_rows, with_age, with_income,
+  label_rows, defaults
+from (select snapshot_date, count(*) as feature_rows, count(customer_age) as with_age, count(Annual_Income) as with_income
+      from features group by snapshot_date) f
+full join (select snapshot_date, count(*) as label_rows, cast(sum(label) as bigint) as defaults
+           from label_rows group by snapshot_date) l on f.snapshot_date = l.snapshot_date""")
+
 # --- data quality -----------------------------------------------------------------------------
 
 _TYPED = {"Customer_ID": "Customer_ID", "Annual_Income": "Annual_Income", "Monthly_Inhand_Salary": "Monthly_Inhand_Salary",

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from riskmart import config
 from riskmart.functions.dates import month_calendar, snapshot_tag, tag_date
 from riskmart.operators import checks, drift, metrics, models, prep, quality, readiness, report, silver, stats
-from riskmart.plans import monitoring, scoring, training
+from riskmart.plans import medallion, monitoring, scoring, training
 from riskmart.session import new_path, tune
 from riskmart.sources import history, predictions as prediction_table, registry, snapshots
 from riskmart.suite import tables
@@ -18,16 +18,16 @@ REGISTRY = {}
 def presented(df: DataFrame) -> DataFrame:
     """Result columns in a form both engines print alike: dates as text, floats as doubles, doubles
     to six places."""
-    def show(f: T.StructField):
-        c = F.col(f"`{f.name}`")
+    def show(f: T.StructField) -> str:
+        c = f"`{f.name}`"
         if isinstance(f.dataType, T.DateType):
-            return F.date_format(c, "yyyy-MM-dd").alias(f.name)
+            return f"date_format({c}, 'yyyy-MM-dd') as {c}"
         if isinstance(f.dataType, T.FloatType):
-            return c.cast("double").alias(f.name)
+            return f"double({c}) as {c}"
         if isinstance(f.dataType, T.DoubleType):
-            return (F.round(c, 6) + F.lit(0.0)).alias(f.name)
+            return f"round({c}, 6) + 0D as {c}"
         return c
-    return df.select(*[show(f) for f in df.schema.fields])
+    return df.selectExpr(*[show(f) for f in df.schema.fields])
 
 
 def query(f):
@@ -174,6 +174,24 @@ def default_rate(spark, sf_dir):
         F.count("label").alias("n_rows"), F.sum("label").alias("defaults"), F.avg("label").alias("default_rate"))
 
 
+@query
+def medallion_backfill(spark, sf_dir):
+    """Four raw CSV feeds through bronze, silver and gold; what the gold tables then hold per snapshot."""
+    feeds = {}
+    for name, build in (("loan_daily", tables.loans), ("attributes", tables.attributes),
+                        ("financials", tables.financials), ("clickstream", tables.clickstream)):
+        rows, path = build(spark, sf_dir), new_path(spark, f"feed-{name}")
+        snapshots.write_feed(rows, path)
+        feeds[name] = (path, rows.columns)
+    built = medallion.backfill(spark, medallion.Mart(new_path(spark, "mart")), feeds, tables.COLUMNS)
+    features = built["feature_store"].groupBy("snapshot_date").agg(
+        F.count("*").alias("feature_rows"), F.count("customer_age").alias("with_age"),
+        F.count("Annual_Income").alias("with_income"))
+    labels = built["label_store"].groupBy("snapshot_date").agg(
+        F.count("*").alias("label_rows"), F.sum("label").alias("defaults"))
+    return features.join(labels, "snapshot_date", "full")
+
+
 # --- data quality -----------------------------------------------------------------------------
 
 @query

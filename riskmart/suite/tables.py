@@ -26,8 +26,15 @@ FEATURES = ("tenure", "loan_amt", "customer_age", "Annual_Income", "Monthly_Inha
             "debt_to_income_ratio") + config.CLICK_FEATURES
 
 
+_sources: dict[tuple, DataFrame] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its footer is read once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _sources:
+        _sources[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _sources[key]
 
 
 _stored: dict[tuple, DataFrame] = {}
