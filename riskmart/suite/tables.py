@@ -9,8 +9,8 @@ from riskmart.operators.gold import feature_store, label_store
 from riskmart.operators.silver import (silver_attributes, silver_clickstream, silver_financials,
                                        silver_loan_daily)
 from riskmart.plans.monitoring import monitoring_records, monitoring_report
-from riskmart.session import written
-from riskmart.sources.snapshots import union_all
+from riskmart.session import new_path, written
+from riskmart.sources.snapshots import read_snapshots, union_all, write_snapshots
 
 SPLITS = {
     "train": ("1995-01-01", "1998-12-01"),
@@ -40,20 +40,31 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _stored: dict[tuple, DataFrame] = {}
 
 
-def stored(spark, sf_dir, name, build) -> DataFrame:
+def stored(spark, sf_dir, name, build, by_snapshot: bool = False) -> DataFrame:
     """A derived table that later queries of the session read instead of deriving it again."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
-        _stored[key] = written(build(), name)
+        if by_snapshot:
+            df, path = build(), new_path(spark, name)
+            write_snapshots(df, path)
+            _stored[key] = read_snapshots(spark, path, df.schema)
+        else:
+            _stored[key] = written(build(), name)
     return _stored[key]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a table of fewer input splits than cores to all cores before it is expanded. Larger tables
+    pass unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def loans(spark, sf_dir) -> DataFrame:
     """Eleven monthly instalments per order, some of them overdue."""
     start = F.expr("cast(date_trunc('month', o_orderdate) as date)")
-    panel = read(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", start.alias("d0"),
-        F.explode(F.sequence(F.lit(0), F.lit(10))).alias("i"))
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", start.alias("d0"))
+    panel = spread(orders).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(10))))
     late = F.expr("case when i > 0 and (o_orderkey * 7 + o_custkey) % 5 = 0 "
                   "then least(i, cast(1 + o_orderkey % 4 as int)) else 0 end")
     part = F.col("o_totalprice") / 10
@@ -133,11 +144,11 @@ def labels(spark, sf_dir) -> DataFrame:
 
 def gold_features(spark, sf_dir) -> DataFrame:
     """The feature store as a stored table, as training and scoring find it."""
-    return stored(spark, sf_dir, "feature-store", lambda: features(spark, sf_dir))
+    return stored(spark, sf_dir, "feature-store", lambda: features(spark, sf_dir), by_snapshot=True)
 
 
 def gold_labels(spark, sf_dir) -> DataFrame:
-    return stored(spark, sf_dir, "label-store", lambda: labels(spark, sf_dir))
+    return stored(spark, sf_dir, "label-store", lambda: labels(spark, sf_dir), by_snapshot=True)
 
 
 _LABEL = "case when (event_id * 37 + user_id * 11) % 10 < 3 then 1 else 0 end"
