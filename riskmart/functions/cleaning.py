@@ -6,28 +6,22 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A plain decimal number; keeps exponents, type suffixes and words such as NaN out of integers.
-_PLAIN_NUMBER = r"^\s*[+-]?\d+(\.\d*)?\s*$"
+# Fixed value: a plain decimal number; keeps exponents, type suffixes and words such as NaN out of
+# integers.
+_PLAIN_NUMBER = "^ *[+-]?[0-9]+([.][0-9]*)? *$"
 
 
-def strip_chars(c: Column, chars: str = "_") -> Column:
-    """Remove every occurrence of the given characters."""
-    return F.translate(c.cast("string"), chars, "")
+def typed(name: str, target: str, is_text: bool, strip: bool = False) -> str:
+    """SQL text of a cast that turns values it cannot represent into null instead of failing the job.
 
-
-def int_from_text(c: Column) -> Column:
-    """Text to INT: decimals are cut towards zero, anything else that is no number becomes null."""
-    text = c.cast("string")
-    return F.when(text.rlike(_PLAIN_NUMBER), text.try_cast("double").try_cast("int"))
-
-
-def typed(c: Column, target: str, is_text: bool) -> Column:
-    """Cast that turns values it cannot represent into null instead of failing the job."""
-    if target == "int":
-        return int_from_text(c) if is_text else c.try_cast("int")
-    if target == "string":
-        return c.cast("string")
-    return c.try_cast(target)
+    Text becomes INT by way of a plain decimal number that is cut towards zero; ``strip`` removes
+    underscores first. Wide tables are cast by one call with all columns as text, not by a handful
+    of calls per column.
+    """
+    source = f"replace(string(`{name}`), '_', '')" if strip else f"`{name}`"
+    if target == "int" and (is_text or strip):
+        return f"case when {source} rlike '{_PLAIN_NUMBER}' then try_cast(try_cast({source} as double) as int) end"
+    return f"try_cast({source} as {target})"
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, str], *, strip: Sequence[str] = (),
@@ -40,17 +34,9 @@ def cast_columns(df: DataFrame, types: Mapping[str, str], *, strip: Sequence[str
     absent = [c for c in types if c not in df.columns]
     if required and absent:
         raise ValueError(f"columns missing from the feed: {absent}")
-    text_columns = {name for name, kind in df.dtypes if kind == "string"}
-
-    def project(name: str) -> Column:
-        if name not in types:
-            return F.col(name)
-        source, is_text = F.col(name), name in text_columns
-        if name in strip:
-            source, is_text = strip_chars(source), True
-        return typed(source, types[name], is_text).alias(name)
-
-    return df.select(*[project(c) for c in df.columns])
+    return df.selectExpr(*[
+        f"{typed(name, types[name], kind == 'string', name in strip)} as `{name}`" if name in types else f"`{name}`"
+        for name, kind in df.dtypes])
 
 
 def with_if_present(df: DataFrame, name: str, build: Callable[[Column], Column]) -> DataFrame:

@@ -39,27 +39,25 @@ def grid_bin(x: Column, low: Column, high: Column, bins: int) -> Column:
             .otherwise(guess).cast("int"))
 
 
-def in_bins(p: Column, edges=config.PSI_EDGES) -> list[Column]:
-    """One condition per half-open bin between neighbouring edges, the last bin closed."""
+def in_bins(name: str, edges=config.PSI_EDGES) -> list[str]:
+    """SQL text of one condition per half-open bin between neighbouring edges, the last bin closed."""
     last = len(edges) - 2
-    return [(p >= edges[i]) & ((p <= edges[i + 1]) if i == last else (p < edges[i + 1]))
+    return [f"({name} >= {edges[i]!r}D and {name} {'<=' if i == last else '<'} {edges[i + 1]!r}D)"
             for i in range(last + 1)]
 
 
-def bin_counts(p: Column, edges=config.PSI_EDGES) -> list[Column]:
-    """Rows per bin."""
-    return [F.count_if(inside) for inside in in_bins(p, edges)]
+def bin_counts(name: str, edges=config.PSI_EDGES) -> Column:
+    """Array of the rows per bin."""
+    return F.expr(f"array({', '.join(f'count_if({inside})' for inside in in_bins(name, edges))})")
 
 
-def stability_index(expected: Column, expected_rows: Column, actual: Column, actual_rows: Column,
+def stability_index(expected: str, expected_rows: str, actual: str, actual_rows: str,
                     empty_share: float = config.PSI_EMPTY_SHARE) -> Column:
-    """Stability index of two arrays of bin counts; null where either side has no rows."""
+    """Stability index of two array columns of bin counts; null where either side has no rows."""
     def share(count, rows):
-        return F.when(count == 0, F.lit(empty_share)).otherwise(count / rows)
+        return f"if({count} = 0, {empty_share!r}D, {count} / {rows})"
 
-    def term(e, a):
-        e_share, a_share = share(e, expected_rows), share(a, actual_rows)
-        return (a_share - e_share) * F.ln(a_share / e_share)
-
-    total = F.aggregate(F.zip_with(expected, actual, term), F.lit(0.0), lambda acc, x: acc + x)
-    return F.when((expected_rows > 0) & (actual_rows > 0), total)
+    e, a = share("e", expected_rows), share("a", actual_rows)
+    terms = f"zip_with({expected}, {actual}, (e, a) -> ({a} - {e}) * ln({a} / {e}))"
+    return F.expr(f"case when {expected_rows} > 0 and {actual_rows} > 0 "
+                  f"then aggregate({terms}, 0D, (total, term) -> total + term) end")

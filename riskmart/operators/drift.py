@@ -18,9 +18,8 @@ def score_histogram(df: DataFrame, keys: Sequence[str] = (), proba: str = "predi
 
     All bins are aggregates of one pass, so tasks send one row per group.
     """
-    p = nan_to_null(F.col(proba))
-    return (df.groupBy(*keys)
-            .agg(F.array(*bin_counts(p, edges)).alias("bins"), F.count("*").alias("n_rows")))
+    return (df.select(*keys, nan_to_null(F.col(proba)).alias("p")).groupBy(*keys)
+            .agg(bin_counts("p", edges).alias("bins"), F.count("*").alias("n_rows")))
 
 
 def histogram_bins(histogram: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -43,7 +42,7 @@ def with_baseline(histogram: DataFrame, model: Sequence[str], date_col: str) ->
 
 def psi_column() -> Column:
     """Stability index of a row of ``with_baseline``."""
-    return stability_index(F.col("baseline_bins"), F.col("baseline_rows"), F.col("bins"), F.col("n_rows"))
+    return stability_index("baseline_bins", "baseline_rows", "bins", "n_rows")
 
 
 def psi_by_snapshot(df: DataFrame, date_col: str = "snapshot_date", model: Sequence[str] = (),

@@ -158,8 +158,7 @@ def evaluate(df: DataFrame, keys: Sequence[str] = (), label: str = "label", prob
         F.sum(F.when(hit, 0).otherwise(pos)).alias("false_negatives"),
         F.sum(F.when(hit, pos).otherwise(0)).alias("true_positives"),
         F.sum(pos * row_log_loss(score, F.lit(True)) + neg * row_log_loss(score, F.lit(False))).alias("loss"),
-        *[F.sum(F.when(inside, pos + neg).otherwise(0)).alias(f"bin_{i}")
-          for i, inside in enumerate(in_bins(score))],
+        F.expr(f"array({', '.join(f'sum(if({inside}, pos + neg, 0))' for inside in in_bins('score'))})").alias("chunk_bins"),
     ]
     chunks = _by_score_chunk(counts, keys).groupBy(*keys, "chunk").agg(*_chunk_sums(), *extra)
     pos_rows, neg_rows = F.sum("chunk_pos"), F.sum("chunk_neg")
@@ -167,7 +166,7 @@ def evaluate(df: DataFrame, keys: Sequence[str] = (), label: str = "label", prob
         *[F.sum(c).alias(c) for c in MATRIX],
         _auc_value().alias("auc_roc"),
         F.when((pos_rows > 0) & (neg_rows > 0), F.sum("loss") / (pos_rows + neg_rows)).alias("log_loss"),
-        F.array(*[F.sum(f"bin_{i}") for i in range(len(config.PSI_EDGES) - 1)]).alias("bins"),
+        F.expr(f"array({', '.join(f'sum(chunk_bins[{i}])' for i in range(len(config.PSI_EDGES) - 1))})").alias("bins"),
         (pos_rows + neg_rows).alias("n_rows"))
     return with_rates(totals).select(
         *keys, "accuracy", "precision", "recall", "f1_score", F.lit(threshold).alias("threshold"),

@@ -64,13 +64,15 @@ def monitoring_report(predictions: DataFrame, labels: DataFrame, offset: int = c
 
     has_labels = F.coalesce(F.col("has_labels"), F.lit(False))
     joined_rows = F.coalesce(F.col("joined_rows"), F.lit(0))
-    bins = F.when(has_labels, F.col("joined_bins")).otherwise(F.col("bins"))
-    n_rows = F.when(has_labels, joined_rows).otherwise(F.col("n_rows"))
-    psi = stability_index(F.col("baseline_bins"), F.col("baseline_rows"), bins, n_rows)
+    rows = rows.withColumns({
+        "has_labels": has_labels,
+        "measured_bins": F.when(has_labels, F.col("joined_bins")).otherwise(F.col("bins")),
+        "measured_rows": F.when(has_labels, joined_rows).otherwise(F.col("n_rows"))})
+    psi = stability_index("baseline_bins", "baseline_rows", "measured_bins", "measured_rows")
     measured = rows.select(
-        *KEYS, has_labels.alias("has_labels"), (has_labels & (joined_rows == 0)).alias("empty_overlap"),
-        *[F.col(c) for c in METRICS if c != "threshold"], F.lit(threshold).alias("threshold"),
-        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in MATRIX], psi.alias("psi"))
+        *KEYS, "has_labels", (F.col("measured_rows") == 0).alias("empty_overlap"),
+        *[c for c in METRICS if c != "threshold"], F.lit(threshold).alias("threshold"),
+        *[F.expr(f"coalesce({c}, 0L) as {c}") for c in MATRIX], psi.alias("psi"))
     return with_checks(measured, limits, strict_psi, "empty_overlap").drop("empty_overlap")
 
 

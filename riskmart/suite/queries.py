@@ -31,9 +31,14 @@ def presented(df: DataFrame) -> DataFrame:
 
 
 def query(f):
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def operator(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return presented(f(tune(spark), sf_dir))
+        return f(tune(spark), sf_dir)
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return presented(operator(spark, sf_dir))
+
+    run.operator = operator
     run.__name__ = f.__name__
     run.__doc__ = f.__doc__
     REGISTRY[f.__name__] = run

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from riskmart.functions.cleaning import cast_columns, int_from_text, ratio, strip_chars, with_if_present
+from riskmart.functions.cleaning import cast_columns, ratio, with_if_present
 from riskmart.operators.silver import silver_attributes, silver_clickstream, silver_financials, silver_loan_daily
 from riskmart import config
 
@@ -13,14 +13,13 @@ from riskmart import config
     ("abc", None), ("", None), ("1e3", None), ("12d", None), ("NaN", None), ("_", None),
     ("99999999999", None), (None, None)])
 def test_int_from_text(spark, text, number):
-    row = spark.createDataFrame([(text,)], "t string").select(int_from_text(F.col("t")).alias("n")).first()
-    assert row.n == number
+    assert cast_columns(spark.createDataFrame([(text,)], "n string"), {"n": "int"}).first().n == number
 
 
-def test_strip_chars_and_ratio(spark):
-    row = spark.createDataFrame([("__-33_", 1.0, 0.0)], "t string, a double, b double").select(
-        strip_chars(F.col("t")).alias("t"), ratio(F.col("a"), F.col("b")).alias("r")).first()
-    assert (row.t, row.r) == ("-33", None)
+def test_strip_and_ratio(spark):
+    df = spark.createDataFrame([("__-33_", 1.0, 0.0, 12.9)], "t string, a double, b double, c double")
+    row = cast_columns(df, {"t": "int", "c": "int"}, strip=["t"]).select("t", "c", ratio(F.col("a"), F.col("b")).alias("r")).first()
+    assert (row.t, row.c, row.r) == (-33, 12, None)
 
 
 def test_cast_columns_required_and_guarded(spark):
