@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskmart import config
 from riskmart.functions.cleaning import nan_to_null
+from riskmart.operators.drift import score_density
+from riskmart.session import written
 from riskmart.sources.snapshots import in_range
 
 REPORTED = ("auc_roc", "accuracy", "precision", "recall", "f1_score", "psi")
@@ -59,7 +61,8 @@ def monitoring_summary(history: DataFrame) -> DataFrame:
 
 
 def monitoring_series(history: DataFrame, limits: config.Thresholds = config.Thresholds()) -> DataFrame:
-    """Chart data in long form: (snapshot_date, model_name, monitored_at, series, value, threshold)."""
+    """Chart data in long form: (snapshot_date, model_name, monitored_at, series, value, threshold,
+    warning). Only the stability index has a warning line beside its critical one."""
     metrics = ("auc_roc", "accuracy", "precision", "recall", "f1_score", "log_loss", "psi",
                "true_positives", "false_positives", "true_negatives", "false_negatives")
     keys = ["snapshot_date", "model_name", "monitored_at"]
@@ -68,7 +71,8 @@ def monitoring_series(history: DataFrame, limits: config.Thresholds = config.Thr
     threshold = F.lit(None).cast("double")
     for name, value in floors.items():
         threshold = F.when(F.col("series") == name, F.lit(value)).otherwise(threshold)
-    return wide.unpivot(keys, list(metrics), "series", "value").withColumn("threshold", threshold)
+    warning = F.when(F.col("series") == "psi", F.lit(limits.psi_warning))
+    return wide.unpivot(keys, list(metrics), "series", "value").withColumns({"threshold": threshold, "warning": warning})
 
 
 def even_period_sample(df: DataFrame, date_col: str = "snapshot_date", periods: int = config.PERIOD_SAMPLE) -> DataFrame:
@@ -86,6 +90,14 @@ def even_period_sample(df: DataFrame, date_col: str = "snapshot_date", periods:
     return picked.select("position", F.get("days", F.col("position")).alias(date_col))
 
 
+def sampled_density(df: DataFrame, start: str, end: str, date_col: str = "snapshot_date",
+                    proba: str = "prediction") -> DataFrame:
+    """Score densities for the chart of distributions: an even sample of all snapshots, of which those
+    inside a closed period are drawn."""
+    chosen = written(even_period_sample(df, date_col).select(date_col), "periods")
+    return score_density(in_range(df, start, end, date_col).join(chosen, date_col, "left_semi"), date_col, proba)
+
+
 def best_model(registry: DataFrame, metric: str = config.SELECTION_METRIC, split: str = "validation",
                mode: str = "max") -> DataFrame:
     """The model with the best value of a metric on a split; the lower ordinal wins a tie.

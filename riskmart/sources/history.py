@@ -74,6 +74,11 @@ def import_history(spark: SparkSession, path: str) -> DataFrame:
             .select(F.explode("monitoring_history").alias("r")).select("r.*"))
 
 
+def write_records(records: DataFrame, path: str) -> None:
+    """Nested records as JSON, one partition per model and snapshot; a re-run replaces its own."""
+    write_snapshots(records, path, by=("model_name", "snapshot_date"), file_format="json")
+
+
 def write_flat(records: DataFrame, path: str) -> None:
     """Flat Parquet records, one partition per model and snapshot."""
     write_snapshots(flat(records), path, by=("model_name", "snapshot_date"))

@@ -565,14 +565,15 @@ ORACLES["psi_by_snapshot"] = sql("hist_scores", f"""
 select {day("snapshot_date")}, {r6("psi", "psi")} from ({psi_sum(
     "hist_scores", "(select bin, c, n from hist_scores where snapshot_date = (select min(snapshot_date) from hist_scores))", "true",
     "snapshot_date")}) t""")
-ORACLES["score_density"] = sql("scores", f"""
+_DENSITY = f"""
 select {day("snapshot_date")}, bin, {r6("lo + bin * w", "bin_start")}, count(*) as bin_count, {r6("count(*) / (n * w)", "density")}
 from (select *, cast(case when p < lo + g * w then g - 1 when p >= lo + (g + 1) * w and g <> 49 then g + 1 else g end as int) as bin
       from (select s.snapshot_date, s.p, r.lo, r.n, (r.hi - r.lo) / 50 as w,
               least(floor((s.p - r.lo) / (r.hi - r.lo) * 50), 49) as g
             from scores s join (select snapshot_date, min(p) as lo, max(p) as hi, count(*) as n from scores group by snapshot_date) r
               on s.snapshot_date = r.snapshot_date) a) b
-group by snapshot_date, bin, lo, w, n""")
+group by snapshot_date, bin, lo, w, n"""
+ORACLES["score_density"] = sql("scores", _DENSITY)
 
 # --- monitoring -------------------------------------------------------------------------------
 
@@ -613,7 +614,7 @@ select {day("min(snapshot_date)", "first_snapshot")}, {day("max(snapshot_date)",
 _SERIES = {"auc_roc": "0.7", "accuracy": "null", "precision": "0.6", "recall": "0.5", "f1_score": "0.55", "log_loss": "null",
            "psi": "0.2", "true_positives": "null", "false_positives": "null", "true_negatives": "null", "false_negatives": "null"}
 ORACLES["monitoring_series"] = sql("history", " union all ".join(
-    f"select {day('snapshot_date')}, model_name, monitored_at, '{c}' as series, {r6(c, 'value')}, cast({t} as double) as threshold from history"
+    f"select {day('snapshot_date')}, model_name, monitored_at, '{c}' as series, {r6(c, 'value')}, cast({t} as double) as threshold, {"0.1::double" if c == "psi" else "null::double"} as warning from history"
     for c, t in _SERIES.items()))
 ORACLES["even_period_sample"] = sql("scores", f"""
 select position, {day("d.snapshot_date")}
@@ -621,6 +622,17 @@ from (select cast(case when k = 9 then n - 1 else floor(k * ((n - 1) / 9.0::doub
       from (select count(distinct snapshot_date) as n from scores) c cross join (select unnest(range(10)) as k) ks) p
 join (select snapshot_date, row_number() over (order by snapshot_date) - 1 as i
       from (select distinct snapshot_date from scores) u) d on p.position = d.i""")
+ORACLES["sampled_density"] = sql("scores", f"""
+select * from ({_DENSITY}) density
+where snapshot_date between '2024-01-05' and '2024-01-28' and snapshot_date in (
+  select strftime(d.snapshot_date, '%Y-%m-%d')
+  from (select case when k = 9 then n - 1 else floor(k * ((n - 1) / 9.0::double)) end as position
+        from (select count(distinct snapshot_date) as n from scores) c cross join (select unnest(range(10)) as k) ks) p
+  join (select snapshot_date, row_number() over (order by snapshot_date) - 1 as i
+        from (select distinct snapshot_date from scores) u) d on p.position = d.i)""")
+ORACLES["monitoring_records"] = sql("report", f"""
+select {day("snapshot_date")}, model_name, strftime(snapshot_date, '%Y-%m-%d') || 'T08:00:00' as monitored_at,
+  {r6("auc_roc", "auc_roc")}, true_positives, {r6("psi", "psi")}, all_passed, alert_level, 0.2::double as psi_critical from report""")
 _FAILS = {"auc_roc": 0.7, "precision": 0.6, "recall": 0.5, "f1_score": 0.55}
 ORACLES["retrain_trigger"] = sql("newest", f"""
 select model_name, {day("snapshot_date")}, repeated_failure, drifted, repeated_failure or drifted as retrain from (

@@ -529,6 +529,22 @@ def even_period_sample(spark, sf_dir):
     return report.even_period_sample(tables.scores(spark, sf_dir))
 
 
+@query
+def sampled_density(spark, sf_dir):
+    """Densities of the evenly sampled days that lie inside a period."""
+    return report.sampled_density(tables.scores(spark, sf_dir), "2024-01-05", "2024-01-28")
+
+
+@query
+def monitoring_records(spark, sf_dir):
+    """Nested records written as JSON per model and snapshot, read back."""
+    path = new_path(spark, "records")
+    history.write_records(tables.records(spark, sf_dir).where("monitored_at like '%T08:00:00'"), path)
+    back = history.read_history(spark, path)
+    return back.select("snapshot_date", "model_name", "monitored_at", "metrics.auc_roc", "metrics.true_positives", "metrics.psi",
+                       "threshold_checks.all_passed", "threshold_checks.alert_level", "thresholds.psi_critical")
+
+
 @query
 def retrain_trigger(spark, sf_dir):
     return checks.retrain_trigger(report.latest_per_snapshot(_history(spark, sf_dir)))

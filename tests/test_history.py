@@ -91,6 +91,8 @@ def test_compliance_and_series(published):
     series = report.monitoring_series(published)
     assert series.count() == 11 * 11
     assert series.where("series = 'precision'").first().threshold == 0.6
+    psi = series.where("series = 'psi'").first()
+    assert (psi.warning, psi.threshold) == (0.1, 0.2)
     with pytest.raises(ValueError, match="2 monitoring records"):
         report.require_history(published.limit(1))
 
