@@ -11,6 +11,7 @@ from riskmart.operators.drift import score_histogram, with_baseline
 from riskmart.operators.metrics import MATRIX, evaluate
 from riskmart.sources.history import CHECKS, METRICS
 from riskmart.sources.predictions import normalised
+from riskmart.sources.snapshots import in_range
 
 IDENTIFIERS = ("loan_id", "Customer_ID")
 KEYS = ["model_name", "snapshot_date"]
@@ -45,9 +46,12 @@ def unmatched_keys(predictions: DataFrame, labels: DataFrame, key: str = "loan_i
 
 def monitoring_report(predictions: DataFrame, labels: DataFrame, offset: int = config.LABEL_MOB,
                       limits: config.Thresholds = config.Thresholds(),
-                      threshold: float = config.SCORE_THRESHOLD, strict_psi: bool = False) -> DataFrame:
+                      threshold: float = config.SCORE_THRESHOLD, strict_psi: bool = False,
+                      period: tuple[str, str] | None = None) -> DataFrame:
     """One row per model and snapshot: metrics, stability index, checks and alert level.
 
+    ``period`` reports a closed range of snapshots; the baseline stays the earliest of all.
+
     A snapshot whose label month exists is measured on the joined rows; one without labels has null
     metrics, zero counts and the index of all its predictions. The baseline of the index is every
     prediction of the model's earliest snapshot. Predictions are read twice (histogram, join);
@@ -55,6 +59,8 @@ def monitoring_report(predictions: DataFrame, labels: DataFrame, offset: int = c
     """
     scored = prediction_snapshots(predictions)
     everyone = with_baseline(score_histogram(scored, KEYS), ["model_name"], "snapshot_date")
+    if period:
+        everyone, scored = in_range(everyone, *period), in_range(scored, *period)
     observed = evaluate(join_labels(scored, labels, offset), KEYS, threshold=threshold).withColumnsRenamed(
         {"bins": "joined_bins", "n_rows": "joined_rows", "threshold": "joined_threshold"})
     label_months = labels.select(F.col("snapshot_date").alias("label_date")).distinct().withColumn(

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 SNAPSHOT = "snapshot_date"
 
@@ -57,14 +57,19 @@ def read_snapshots(spark: SparkSession, path: str, schema: T.StructType | None =
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
+def _day(df: DataFrame, date_col: str) -> Column:
+    """The date of a row; text that is no date, as raw feeds may hold, is null instead of an error."""
+    return F.col(date_col).try_cast("date") if dict(df.dtypes)[date_col] == "string" else F.col(date_col)
+
+
 def at_snapshot(df: DataFrame, day: str, date_col: str = SNAPSHOT) -> DataFrame:
     """One snapshot (partition pruning)."""
-    return df.where(F.col(date_col) == F.lit(day).cast("date"))
+    return df.where(_day(df, date_col) == F.lit(day).cast("date"))
 
 
 def in_range(df: DataFrame, start: str, end: str, date_col: str = SNAPSHOT) -> DataFrame:
     """Snapshots of a closed range of dates (partition pruning)."""
-    return df.where(F.col(date_col).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    return df.where(_day(df, date_col).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
 
 
 def union_all(*frames: DataFrame) -> DataFrame:

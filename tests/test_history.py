@@ -146,6 +146,15 @@ def test_monitoring_cases(spark):
     assert (unlabelled.has_labels, unlabelled.auc_roc, unlabelled.true_positives, unlabelled.psi, unlabelled.all_passed) == (False, None, 0, 0.0, False)
 
 
+def test_monitoring_period_keeps_the_baseline(spark):
+    predictions, labels = world(spark)
+    moved = predictions.withColumn("prediction_proba", F.when(F.col("inference_date") == "2024-01-01", F.col("prediction_proba") / 2).otherwise(F.col("prediction_proba")))
+    def psi(**options):
+        return {(r.model_name, str(r.snapshot_date)): r.psi for r in monitoring_report(moved, labels, **options).collect()}
+    whole, part = psi(), psi(period=("2024-03-01", "2024-03-01"))
+    assert part == {k: v for k, v in whole.items() if k[1] == "2024-03-01"} and min(part.values()) > 0.2
+
+
 def test_records_survive_the_history(spark):
     path, flat_path = new_path(spark, "history"), new_path(spark, "flat")
     records = monitoring_records(monitoring_report(*world(spark)))

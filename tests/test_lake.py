@@ -61,6 +61,12 @@ def test_feed_keeps_text_as_it_is(spark):
     assert got == {("C1", "41_", "#F%$D@*&8"), ("C2", "007", None)}
 
 
+def test_range_of_text_dates_survives_dirt(spark):
+    raw = spark.createDataFrame([("2023-01-01",), ("not a date",), (None,), ("2023-03-01",)], "snapshot_date string")
+    assert [r.snapshot_date for r in snapshots.in_range(raw, "2023-01-01", "2023-02-01").collect()] == ["2023-01-01"]
+    assert snapshots.at_snapshot(raw, "2023-03-01").count() == 1
+
+
 def test_landing_reads_each_delivery_once(spark):
     landing, bronze, checkpoint = (new_path(spark, n) for n in ("landing", "bronze", "progress"))
     columns = ["k", "v", "snapshot_date"]
