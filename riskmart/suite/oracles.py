@@ -171,9 +171,10 @@ CTES["preds"] = ((), f"""
   select 'beta', cast(event_id as varchar), cast(user_id as varchar),
     0.3::double * ({_LABEL}) + 0.7::double * (cast((event_id * 7919) % 1000 as double) / 1000.0::double),
     cast(ts as date) from events""")
-CTES["truth"] = (("scores",), """
-  select loan_id, Customer_ID, label, cast(snapshot_date + to_months(6) as date) as label_date
-  from scores where cast(loan_id as bigint) % 97 <> 0 and snapshot_date <= date '2024-01-25'""")
+CTES["truth"] = ((), f"""
+  select cast(event_id as varchar) as loan_id, cast(user_id as varchar) as Customer_ID, {_LABEL} as label,
+    cast(cast(ts as date) + to_months(6) as date) as label_date
+  from events where event_type <> 'error' and cast(ts as date) <= date '2024-01-25'""")
 CTES["joined"] = (("preds", "truth"), """
   select p.model_name, p.snapshot_date, p.loan_id, p.Customer_ID, p.p, t.label
   from preds p join truth t on p.loan_id = t.loan_id and p.Customer_ID = t.Customer_ID

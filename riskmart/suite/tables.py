@@ -174,10 +174,12 @@ def predictions(spark, sf_dir) -> DataFrame:
 
 
 def observed_labels(spark, sf_dir) -> DataFrame:
-    """Truth six months on. Some loans never get a label, and the last days have none yet."""
-    return (scores(spark, sf_dir)
-            .where((F.col("loan_id").cast("bigint") % 97 != 0) & (F.col("snapshot_date") <= F.lit("2024-01-25").cast("date")))
-            .select("loan_id", "Customer_ID", "label", F.add_months("snapshot_date", 6).alias("snapshot_date")))
+    """Truth six months on. Loans that ended in an error never get a label, and the last days have
+    none yet."""
+    labelled = read(spark, sf_dir, "events").where("event_type <> 'error' and cast(ts as date) <= date'2024-01-25'")
+    return labelled.selectExpr(
+        "cast(event_id as string) as loan_id", "cast(user_id as string) as Customer_ID", f"{_LABEL} as label",
+        "add_months(cast(ts as date), 6) as snapshot_date")
 
 
 def document_scores(spark, sf_dir) -> DataFrame:
