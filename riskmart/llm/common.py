@@ -155,3 +155,40 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[p
             stop = max(start + 1, int(np.searchsorted(bounds, bounds[start] + size, "right")) - 1)
             yield table.slice(start, stop - start)
             start = stop
+
+
+KINDS = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(),
+         "binary": pa.binary(), "array<string>": pa.list_(pa.string()), "array<long>": pa.list_(pa.int64()),
+         "array<int>": pa.list_(pa.int32()), "array<double>": pa.list_(pa.float64())}
+
+
+def per_text(docs: DataFrame, work, extra: dict[str, str], text_col: str = "text", keep: list[str] | None = None,
+             size: int = 4 << 20) -> DataFrame:
+    """The columns ``keep`` (all where None, under their own names) and those that ``work`` makes of the texts.
+
+    ``work`` is called once per task and returns a function from a string array without nulls (a block of whole
+    texts) to one list per entry of ``extra`` (name: type). A null text goes in as the empty one; the kept
+    column stays null. Names of ``extra`` replace kept columns of the same name."""
+    own = docs if keep is None else pick(docs, **{c: c for c in [*keep, text_col]})
+    names = docs.columns if keep is None else keep
+    n = len(names)
+    at = own.columns.index(text_col)
+    inner = own.toDF(*[f"c{i}" for i in range(len(own.columns))])
+    inner = inner.select("*", F.coalesce(F.col(f"c{at}").cast("string"), F.lit("")).alias("text"))
+    if keep is not None:
+        inner = inner.drop(f"c{n}")
+    kept = inner.schema[:n]
+    schema = ", ".join([*[f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(kept)],
+                        *[f"x{i} {kind}" for i, kind in enumerate(extra.values())]])
+
+    def run(batches):
+        do = work()
+        for block in blocks(batches, size):
+            made = [pa.array(x, KINDS[kind]) for x, kind in zip(do(block.column("text").combine_chunks()), extra.values())]
+            arrays = [*[block.column(i).combine_chunks() for i in range(n)], *made]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*[f"c{i}" for i in range(n)],
+                                                            *[f"x{i}" for i in range(len(extra))]])
+
+    out = inner.mapInArrow(run, schema)
+    shown = [F.col(f"c{i}").alias(c) for i, c in enumerate(names) if c not in extra]
+    return out.select(*shown, *[F.col(f"x{i}").alias(c) for i, c in enumerate(extra)])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskmart.llm import bpe
+from riskmart.llm import bpe, decontaminate, html_extract, iblt, ordinal, ring, toxicity
 from riskmart.llm.common import prepared
 
 QUERIES = {}
@@ -24,6 +24,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_toxicity(spark, sf_dir):
+    """Toxicity score per document; the lexicon is learnt outside the held-out fourth."""
+    docs = table(spark, sf_dir, "documents")
+    lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    held_out = "coalesce(crc32(cast(cast(doc_id as string) as binary)) % 4 = 2, false) held_out"
+    return toxicity.score(docs, lexicon, keep=["doc_id"]).selectExpr("doc_id", held_out, "score", "predicted", "n_matches")
+
+
+@query
+def op2_fingerprints(spark, sf_dir):
+    """Sketches of each document, of its edited text and of the next document, and their likeness."""
+    return iblt.edited_versions(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_quality_grades(spark, sf_dir):
+    """Expected grade and tail probabilities per document."""
+    docs = table(spark, sf_dir, "documents")
+    model = ordinal.fit(docs, ordinal.graded(table(spark, sf_dir, "labels")))
+    return ordinal.grade(docs, model, keep=["doc_id"]).selectExpr(
+        "doc_id", "expected_grade", "tails[0] p_at_least_1", "tails[1] p_at_least_2", "selected")
+
+
+@query
+def op4_ring_sharding(spark, sf_dir):
+    """All documents on 24 shards by the law `rows`."""
+    return ring.shard(table(spark, sf_dir, "documents"), 24)
+
+
+@query
+def op6_main_text(spark, sf_dir):
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    found = html_extract.extract(pages, html_extract.fit(pages), keep=["page_id", "url"])
+    return found.select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op7_decontamination(spark, sf_dir):
+    """Words of each document inside benchmark windows, and the items they come from."""
+    found = decontaminate.marks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        F.expr(f"({decontaminate.contaminated()})").alias("contaminated"))
+
+
 @query
 def op10_byte_bpe(spark, sf_dir):
     """Token counts and digests of ids and decoded bytes, per document."""
