@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskmart.llm import bpe, decontaminate, html_extract, iblt, ordinal, ring, toxicity
+from riskmart.llm import (bpe, decontaminate, html_extract, iblt, ordinal, ring, suffix_dedup, suffix_tree,
+                          toxicity)
 from riskmart.llm.common import prepared
 
 QUERIES = {}
@@ -54,6 +55,12 @@ def op4_ring_sharding(spark, sf_dir):
     return ring.shard(table(spark, sf_dir, "documents"), 24)
 
 
+@query
+def op5_suffix_dedup(spark, sf_dir):
+    """Bytes under 50-byte strings that a smaller document has, removed."""
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_main_text(spark, sf_dir):
     """Main text of every page."""
@@ -71,6 +78,12 @@ def op7_decontamination(spark, sf_dir):
                         F.expr(f"({decontaminate.contaminated()})").alias("contaminated"))
 
 
+@query
+def op9_suffix_tree(spark, sf_dir):
+    """Words under 13-word windows that a smaller document has, removed."""
+    return suffix_tree.digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_byte_bpe(spark, sf_dir):
     """Token counts and digests of ids and decoded bytes, per document."""
