@@ -1,14 +1,41 @@
-"""A training-data pipeline over documents: each stage is written as Parquet and reread as the next one's input."""
+"""A training-data pipeline over documents: each stage is written as Parquet and reread as the next one's input.
+
+Every stage works on all rows and whole texts of its input; all but the last return the columns of documents."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskmart.llm import bpe
+from riskmart.llm import bpe, decontaminate, jaccard_join, suffix_dedup, toxicity
 from riskmart.llm.common import prepared
 from riskmart.session import written
 
 
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the lexicon predicts to be toxic."""
+    prepared(spark)
+    lexicon = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.accepted(docs, lexicon)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near duplicates and whatever hangs together by them, the document with the smallest id."""
+    return jaccard_join.deduplicated(docs)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents; bytes under 50-byte strings of a smaller document are cut, and n_chars follows."""
+    kept = suffix_dedup.cleaned(docs)
+    if "n_chars" not in docs.columns:
+        return kept
+    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents one word in twenty or more of which is a benchmark item's."""
+    return decontaminate.uncontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of what the earlier stages kept."""
     import public_tokenizers
@@ -16,7 +43,8 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-STAGES = [("encoded", encoded)]
+STAGES = [("toxicity", not_toxic), ("ngram_jaccard", one_of_each_group), ("suffix_array", without_repeats),
+          ("decontamination", without_benchmark), ("byte_bpe", encoded)]
 
 #: Stages that learn, search or encode have no SQL; tests hold them against brute force.
 ORACLE_SQL = None

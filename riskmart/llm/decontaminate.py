@@ -238,3 +238,17 @@ def without_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_
     return made.where(f"not ({limit})").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+
+
+def uncontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col: str = "text", share: int = 20) -> DataFrame:
+    """The documents whose coverage stays below the limit, unchanged."""
+    held = [docs.sparkSession.sparkContext.broadcast(a) for a in automata(items, window)]
+
+    def work():
+        def judged(texts):
+            n_words, n_hit, _, _ = _marked(texts, [b.value for b in held])
+            return ((n_hit == 0) | (share * n_hit < n_words),)
+        return judged
+
+    made = per_text(docs, work, {"free of benchmark": "boolean"}, text_col)
+    return made.where("`free of benchmark`").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskmart.llm import (bpe, decontaminate, html_extract, iblt, ordinal, ring, suffix_dedup, suffix_tree,
-                          toxicity)
+from riskmart.llm import (bpe, decontaminate, html_extract, iblt, jaccard_join, ordinal, ring, suffix_dedup,
+                          suffix_tree, toxicity)
 from riskmart.llm.common import prepared
 
 QUERIES = {}
@@ -78,6 +78,12 @@ def op7_decontamination(spark, sf_dir):
                         F.expr(f"({decontaminate.contaminated()})").alias("contaminated"))
 
 
+@query
+def op8_jaccard_join(spark, sf_dir):
+    """Components of documents whose 5-word shingles are 0.75 alike."""
+    return jaccard_join.labelled(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_suffix_tree(spark, sf_dir):
     """Words under 13-word windows that a smaller document has, removed."""

@@ -244,3 +244,20 @@ def score(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", keep: list[
 
     return per_text(docs, work, {"score": "double", "predicted": "int", "n_words": "long", "n_matches": "long",
                                  "match_weight": "double"}, text_col, keep)
+
+
+def accepted(docs: DataFrame, lexicon: Lexicon, text_col: str = "text") -> DataFrame:
+    """The documents that are not predicted toxic, their columns as they were."""
+    held = docs.sparkSession.sparkContext.broadcast(lexicon)
+
+    def work():
+        own = held.value.scorer()
+        beta = np.array(held.value.coefficients)
+
+        def run(texts):
+            n, _, w = (np.array(c) for c in zip(*[own(t.as_py()) for t in texts]))
+            return (1 / (1 + np.exp(-np.clip(measures(n, w) @ beta, -30, 30))) < 0.3,)
+        return run
+
+    judged = per_text(docs, work, {"accepted by lexicon": "boolean"}, text_col)
+    return judged.where("`accepted by lexicon`").select(*[F.col(f"`{c}`") for c in docs.columns])
