@@ -17,7 +17,7 @@ from riskmart.llm.common import per_text, pick
 #: Labelled rows that the lexicon and the calibration learn from at most: those with the smallest id hashes.
 LABELLED_ROWS = 20_000
 #: A stem is a beginning of a word with so many letters.
-STEMS = range(4, 10)
+STEMS = range(3, 10)
 #: Documents that must show a term before it is considered.
 LEAST_DOCUMENTS = 3
 LARGEST_WEIGHT = 8.0
