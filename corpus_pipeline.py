@@ -4,7 +4,7 @@ Every stage works on all rows and whole texts of its input; all but the last ret
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from riskmart.llm import bpe, decontaminate, jaccard_join, suffix_dedup, toxicity
 from riskmart.llm.common import prepared
@@ -25,10 +25,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; bytes under 50-byte strings of a smaller document are cut, and n_chars follows."""
-    kept = suffix_dedup.cleaned(docs)
-    if "n_chars" not in docs.columns:
-        return kept
-    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return suffix_dedup.cleaned(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

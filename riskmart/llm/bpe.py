@@ -10,9 +10,9 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from riskmart.llm.common import documents
+from riskmart.llm.common import KINDS, documents
 
 #: Segments and pieces whose ids a worker keeps; the store is emptied when full, so memory stays bounded.
 KEPT = 400_000
@@ -165,12 +165,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     A null text is the empty one: no ids, no bytes. Rows are independent: repeated rows, ties and null ids
     give a row each; further columns are ignored. The vocabulary file is read once, on the driver (its size is
     that of the vocabulary), and broadcast."""
-    schema = "doc_id long, ids binary, decoded binary"
-    found = _mapped(docs, ranks_path, pattern, id_col, text_col, schema, lambda ids, back: (ids, back))
-    # four bytes to an integer, little end first
-    at = "conv(hex(reverse(substring(ids, 4 * i + 1, 4))), 16, 10)"
-    return found.selectExpr("doc_id", f"transform(filter(sequence(0, greatest(octet_length(ids) div 4 - 1, 0)), "
-                            f"i -> 4 * i < octet_length(ids)), i -> cast({at} as int)) ids", "decoded")
+    return _mapped(docs, ranks_path, pattern, id_col, text_col, "doc_id long, ids array<int>, decoded binary",
+                   lambda ids, back: (np.frombuffer(ids, "<i4"), back))
 
 
 def encode_digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
@@ -185,8 +181,7 @@ def _mapped(docs, ranks_path, pattern, id_col, text_col, schema, shape) -> DataF
     with open(ranks_path, "rb") as f:
         content = docs.sparkSession.sparkContext.broadcast(f.read())
     names = [c.split()[0] for c in schema.split(", ")]
-    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
-    types = [kinds[c.split()[1]] for c in schema.split(", ")]
+    types = [KINDS[c.split()[1]] for c in schema.split(", ")]
 
     def run(batches):
         own = coder(content.value, pattern)

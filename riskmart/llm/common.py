@@ -62,6 +62,16 @@ def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def bounded_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
+    """About ``limit`` rows at most, chosen by the hash of ``key``; all where there are no more. Each task decides on its
+    own rows, so nothing is sorted or gathered for it."""
+    n = df.count()
+    if n <= limit:
+        return df
+    scale = 1 << 40
+    return df.where(F.pmod(F.xxhash64(key), F.lit(scale)) < int(limit * scale / n))
+
+
 def stream(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column as one array, and where each row begins (one more entry than rows)."""
     if isinstance(column, pa.ChunkedArray):
@@ -179,33 +189,38 @@ KINDS = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string"
          "array<int>": pa.list_(pa.int32()), "array<double>": pa.list_(pa.float64())}
 
 
+def shown(names: list[str], extra: dict[str, str]) -> list:
+    """Columns c0, c1, ... under their names and x0, x1, ... under those of ``extra``, in place of a column of that name."""
+    made = list(extra)
+    return [*[F.col(f"x{made.index(c)}" if c in extra else f"c{i}").alias(c) for i, c in enumerate(names)],
+            *[F.col(f"x{i}").alias(c) for i, c in enumerate(made) if c not in names]]
+
+
 def per_text(docs: DataFrame, work, extra: dict[str, str], text_col: str = "text", keep: list[str] | None = None,
-             size: int = 4 << 20) -> DataFrame:
+             size: int = 4 << 20, choose: bool = False) -> DataFrame:
     """The columns ``keep`` (all where None, under their own names) and those that ``work`` makes of the texts.
 
     ``work`` is called once per task and returns a function from a string array without nulls (a block of whole
-    texts) to one list per entry of ``extra`` (name: type). A null text goes in as the empty one; the kept
-    column stays null. Names of ``extra`` replace kept columns of the same name."""
-    own = docs if keep is None else pick(docs, **{c: c for c in [*keep, text_col]})
+    texts) to one list per entry of ``extra`` (name: type). With ``choose`` it returns one more list before these,
+    of booleans, and only rows with true stay. A null text goes in as the empty one; the kept column stays null.
+    Names of ``extra`` replace kept columns of the same name."""
+    own = docs if keep is None else pick(docs, **{c: c for c in dict.fromkeys([*keep, text_col])})
     names = docs.columns if keep is None else keep
     n = len(names)
     at = own.columns.index(text_col)
     inner = own.toDF(*[f"c{i}" for i in range(len(own.columns))])
-    inner = inner.select("*", F.coalesce(F.col(f"c{at}").cast("string"), F.lit("")).alias("text"))
-    if keep is not None:
-        inner = inner.drop(f"c{n}")
-    kept = inner.schema[:n]
-    schema = ", ".join([*[f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(kept)],
+    inner = inner.select(*[f"c{i}" for i in range(n)], F.coalesce(F.col(f"c{at}").cast("string"), F.lit("")).alias("text"))
+    schema = ", ".join([*[f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(inner.schema[:n])],
                         *[f"x{i} {kind}" for i, kind in enumerate(extra.values())]])
+    labels = [*[f"c{i}" for i in range(n)], *[f"x{i}" for i in range(len(extra))]]
 
     def run(batches):
         do = work()
         for block in blocks(batches, size):
-            made = [pa.array(x, KINDS[kind]) for x, kind in zip(do(block.column("text").combine_chunks()), extra.values())]
-            arrays = [*[block.column(i).combine_chunks() for i in range(n)], *made]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*[f"c{i}" for i in range(n)],
-                                                            *[f"x{i}" for i in range(len(extra))]])
-
-    out = inner.mapInArrow(run, schema)
-    shown = [F.col(f"c{i}").alias(c) for i, c in enumerate(names) if c not in extra]
-    return out.select(*shown, *[F.col(f"x{i}").alias(c) for i, c in enumerate(extra)])
+            found = list(do(block.column("text").combine_chunks()))
+            chosen = pa.array(found.pop(0)) if choose else None
+            made = [pa.array(x, KINDS[kind]) for x, kind in zip(found, extra.values())]
+            out = pa.RecordBatch.from_arrays([*[block.column(i).combine_chunks() for i in range(n)], *made], names=labels)
+            yield out.filter(chosen) if choose else out
+
+    return inner.mapInArrow(run, schema).select(*shown(names, extra))

@@ -230,12 +230,10 @@ def without_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_
                     parts.append(data[at:bounds[row] + lo].tobytes())
                     at = int(bounds[row]) + hi
                 kept.append(b"".join([*parts, data[at:bounds[row + 1]].tobytes()]).decode())
-            return n_words, n_hit, kept
+            return (n_hit == 0) | (share * n_hit < n_words), kept
         return cut
 
-    made = per_text(docs, work, {"n_words of marks": "long", "n_hit of marks": "long", text_col: "string"}, text_col)
-    limit = contaminated(share).replace("n_hit", "`n_hit of marks`").replace("n_words", "`n_words of marks`")
-    return made.where(f"not ({limit})").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return per_text(docs, work, {text_col: "string"}, text_col, choose=True)
 
 
 
@@ -250,5 +248,4 @@ def uncontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, text
             return ((n_hit == 0) | (share * n_hit < n_words),)
         return judged
 
-    made = per_text(docs, work, {"free of benchmark": "boolean"}, text_col)
-    return made.where("`free of benchmark`").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return per_text(docs, work, {}, text_col, choose=True)

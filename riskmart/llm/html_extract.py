@@ -8,11 +8,11 @@ import re
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from riskmart.llm.common import per_text, pick
+from riskmart.llm.common import bounded_sample, per_text, pick
 
-#: Pages whose blocks the training layouts are filled with at most: those with the smallest id hashes.
+#: Pages whose blocks the training layouts are filled with at most: a sample by id hash.
 SAMPLED_PAGES = 300
 LAYOUTS = 900
 
@@ -272,6 +272,20 @@ class Boosted:
         return out
 
 
+#: Elements that are no main text by their name, unless most of the page is in them.
+ASIDE = {"nav", "aside", "footer", "form", "dialog", "menu"}
+
+
+def rated(pages: list[list[Node]], trees: Boosted) -> list[np.ndarray]:
+    """Log odds of each page's nodes."""
+    rows = [described(nodes) for nodes in pages]
+    odds = trees.log_odds(np.vstack(rows))
+    named = np.array([x.tag in ASIDE for nodes in pages for x in nodes])
+    small = np.concatenate([r[:, NUMBERS.index("of_page")] for r in rows]) < 0.5
+    odds = np.where(named & small, np.minimum(odds, -4), odds)
+    return np.split(odds, np.cumsum([len(nodes) for nodes in pages])[:-1])
+
+
 def settled(nodes: list[Node], log_odds: np.ndarray) -> np.ndarray:
     """Which nodes are main text, at the best sum of log odds such that below a dropped node all is dropped."""
     gain = np.clip(log_odds, -8, 8).tolist()
@@ -317,7 +331,7 @@ class Layouts:
 
     def words(self, *groups: str) -> str:
         """A class name around a word of the groups, or none."""
-        if self.rng.random() < 0.15:
+        if self.rng.random() < 0.35:
             return ""
         word = self.rng.choice(TOKENS[self.rng.choice(groups)].split())
         more = self.rng.choice(["", "", "", "-box", "-area", "-wrap", "_1", " clearfix", "-list", " block", "-section"])
@@ -457,8 +471,8 @@ def fit_pages(pages: list[str], layouts: int = LAYOUTS) -> Boosted:
 
 def fit(pages: DataFrame, limit: int = SAMPLED_PAGES, id_col: str = "page_id", html_col: str = "html") -> Boosted:
     """Trees for a table of pages, from a sample of ``limit`` rows at most."""
-    rows = pick(pages, id=id_col, html=html_col).where("html is not null").select(
-        "html", F.xxhash64("id").alias("h"), "id").orderBy("h", "id").limit(limit).collect()
+    rows = bounded_sample(pick(pages, id=id_col, html=html_col).where("html is not null"), "id", limit).limit(2 * limit).collect()
+    rows.sort(key=lambda r: (str(r["id"]), r["html"]))
     return fit_pages([r["html"] for r in rows])
 
 
@@ -474,11 +488,7 @@ def extract(pages: DataFrame, model: Boosted, html_col: str = "html", keep: list
 
         def run(texts):
             parsed = [parse(t.as_py()) for t in texts]
-            odds = trees.log_odds(np.vstack([described(nodes) for nodes in parsed]))
-            out, at = [], 0
-            for nodes in parsed:
-                out.append(text_of(nodes, settled(nodes, odds[at:at + len(nodes)])))
-                at += len(nodes)
+            out = [text_of(nodes, settled(nodes, odds)) for nodes, odds in zip(parsed, rated(parsed, trees))]
             return out, [len(t) for t in out]
         return run
 

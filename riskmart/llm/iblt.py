@@ -28,10 +28,10 @@ def paragraph_keys(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
     stops = (data == 46) | (data == 33) | (data == 63)
-    inside = data != 10
-    inside[1:] &= (data[1:] != 32) | ~stops[:-1]
     first = np.zeros(len(data) + 1, bool)
     first[bounds] = True
+    inside = data != 10
+    inside[1:] &= (data[1:] != 32) | ~stops[:-1] | first[1:-1]  # a text's first space follows nothing
     begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1] | first[1:-1]
     ends[:-1] &= ~inside[1:] | first[1:-1]

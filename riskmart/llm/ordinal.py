@@ -8,9 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riskmart.llm.common import LOWER, SPACES, byte_codes, per_text, pick, stream, word_bounds, word_hashes
+from riskmart.llm.common import LOWER, SPACES, bounded_sample, byte_codes, per_text, pick, stream, word_bounds, word_hashes
 
-#: Labelled rows that the regression is fitted on at most: those with the smallest id hashes.
+#: Labelled rows that the regression is fitted on at most: a sample by id hash.
 LABELLED_ROWS = 8_000
 #: Weights for words, and for each measure of a text's shape as many as it has steps.
 WORD_WEIGHTS, STEPS = 1 << 14, 12
@@ -111,7 +111,7 @@ def graded(labels: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, ratings: DataFrame, grades: int = 3, limit: int = LABELLED_ROWS) -> Ordinal:
     """Fit on at most ``limit`` rated rows (doc_id, grade); without any, all weights are 0."""
-    chosen = ratings.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    chosen = bounded_sample(ratings, "doc_id", limit)
     rows = pick(docs, doc_id="doc_id", text="text").join(F.broadcast(chosen), "doc_id").select("text", "grade")
 
     def run(batches):

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riskmart.llm.common import KINDS, blocks, mixed, pick, prefix_hash, span_hash
+from riskmart.llm.common import KINDS, blocks, mixed, pick, prefix_hash, shown, span_hash
 from riskmart.session import written
 
 HOT = 64
@@ -399,9 +399,7 @@ def cut_texts(docs: DataFrame, w: Windows, make, extra: dict[str, str], id_col:
                       *[pa.array(x, KINDS[kind]) for x, kind in zip(made, extra.values())]]
             yield pa.RecordBatch.from_arrays(arrays, names=[*[f"c{i}" for i in range(n)], *[f"x{i}" for i in range(len(extra))]])
 
-    out = joined.mapInArrow(run, schema)
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names) if c not in extra],
-                      *[F.col(f"x{i}").alias(c) for i, c in enumerate(extra)])
+    return joined.mapInArrow(run, schema).select(*shown(names, extra))
 
 
 def covered(w: Windows, first: np.ndarray, begins: pa.ListArray, ends: pa.ListArray, fulls: pa.ListArray) -> np.ndarray:

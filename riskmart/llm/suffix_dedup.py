@@ -6,7 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from riskmart.llm.common import byte_codes, powers, stream
 from riskmart.llm.repeats import Windows, cut_texts, leaders, runs
@@ -165,8 +165,17 @@ def digests(docs: DataFrame) -> DataFrame:
     return cut_texts(docs, BYTES, make, {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept_sha256": "string"}, keep=["doc_id"])
 
 
-def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The same columns; from the texts the repeated bytes are cut, and what is left of a character cut apart."""
+def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """The same columns; from the texts the repeated bytes are cut, and what is left of a character cut apart. The number
+    of characters follows where there is such a column."""
+    extra = {text_col: "string"} | ({length_col: "long"} if length_col in docs.columns else {})
+
     def make(texts, raw, first, gone):
-        return (_counted(raw, first, gone, lambda kept: kept.decode("utf-8", "ignore"))[-1],)
-    return cut_texts(docs, BYTES, make, {text_col: "string"}, id_col, text_col).select(*docs.columns)
+        kept = _counted(raw, first, gone, lambda x: x.decode("utf-8", "ignore"))[-1]
+        return kept, [len(t) for t in kept]
+    out = cut_texts(docs, BYTES, make, extra, id_col, text_col)
+    if length_col not in docs.columns or dict(docs.dtypes)[length_col] == "bigint":
+        return out
+    at = docs.columns.index(length_col)  # back to the type it had
+    inner = out.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return inner.withColumn(f"c{at}", F.col(f"c{at}").cast(docs.schema[at].dataType)).toDF(*docs.columns)

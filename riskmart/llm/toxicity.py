@@ -12,9 +12,9 @@ import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from riskmart.llm.common import per_text, pick
+from riskmart.llm.common import bounded_sample, per_text, pick
 
-#: Labelled rows that the lexicon and the calibration learn from at most: those with the smallest id hashes.
+#: Labelled rows that the lexicon and the calibration learn from at most: a sample by id hash.
 LABELLED_ROWS = 20_000
 #: A stem is a beginning of a word with so many letters.
 STEMS = range(3, 10)
@@ -168,8 +168,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = LABELLED_ROWS
     """(text, toxic) of at most ``limit`` labelled rows; never those whose crc32(doc_id as text) mod 4 is 2."""
     chosen = (pick(labels, doc_id="doc_id", toxic="toxic").where("doc_id is not null and toxic is not null")
               .where("crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2")
-              .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
+              .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
+    chosen = bounded_sample(chosen, "doc_id", limit)
     texts = pick(docs, doc_id="doc_id", text="text").where("text is not null")
     return texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic")
 
@@ -259,5 +259,4 @@ def accepted(docs: DataFrame, lexicon: Lexicon, text_col: str = "text") -> DataF
             return (1 / (1 + np.exp(-np.clip(measures(n, w) @ beta, -30, 30))) < 0.3,)
         return run
 
-    judged = per_text(docs, work, {"accepted by lexicon": "boolean"}, text_col)
-    return judged.where("`accepted by lexicon`").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return per_text(docs, work, {}, text_col, choose=True)
