@@ -94,7 +94,6 @@ NUMERIC_FINANCIALS = (
     "Credit_Utilization_Ratio", "Total_EMI_per_month", "Amount_invested_monthly",
     "Monthly_Balance",
 )
-NUMERIC_LOANS = ("tenure", "installment_num", "loan_amt", "due_amt", "paid_amt", "overdue_amt", "balance")
 
 # Closed snapshot ranges of the temporal split.
 SPLITS = {
@@ -104,9 +103,6 @@ SPLITS = {
     "oot": ("2024-06-01", "2024-06-01"),
 }
 WINDOW_MONTHS = {"train": 12, "validation": 2, "test": 2}
-BACKFILL_RANGE = ("2023-01-01", "2024-12-01")
-SCORING_RANGE = ("2024-04-01", "2024-06-01")
-MONITORING_RANGE = ("2024-04-01", "2024-06-01")
 
 # Stability index: edges of the ten score bins as the doubles of an even grid on [0, 1], the outer
 # two widened; empty bins count as this share.

@@ -7,6 +7,11 @@ from pyspark.sql import Column, functions as F
 from riskmart import config
 
 
+def defined(p: Column) -> Column:
+    """Whether a probability is neither null nor NaN."""
+    return p.isNotNull() & ~F.isnan(p)
+
+
 def hard_label(p: Column, threshold: float = config.SCORE_THRESHOLD) -> Column:
     """1 from the threshold upwards, else 0; an undefined probability predicts 0."""
     return F.coalesce((p >= threshold) & ~F.isnan(p), F.lit(False)).cast("int")
@@ -18,10 +23,10 @@ def above(p: Column, threshold: float = config.SCORE_THRESHOLD) -> Column:
 
 
 def row_log_loss(p: Column, positive: Column) -> Column:
-    """Log loss of one row, the probability kept inside (0, 1)."""
+    """Log loss of one row, the probability kept inside (0, 1); null for an undefined probability."""
     eps = config.LOG_LOSS_EPS
     inside = F.least(F.greatest(p, F.lit(eps)), F.lit(1.0 - eps))
-    return -F.when(positive, F.ln(inside)).otherwise(F.ln(1.0 - inside))
+    return F.when(defined(p), -F.when(positive, F.ln(inside)).otherwise(F.ln(1.0 - inside)))
 
 
 def grid_bin(x: Column, low: Column, high: Column, bins: int) -> Column:

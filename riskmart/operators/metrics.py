@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskmart import config
 from riskmart.functions.cleaning import nan_to_null
-from riskmart.functions.scores import above, hard_label, in_bins, row_log_loss
+from riskmart.functions.scores import above, defined, hard_label, in_bins, row_log_loss
 
 MATRIX = ("true_negatives", "false_positives", "false_negatives", "true_positives")
 
@@ -41,7 +41,7 @@ def confusion_matrix(df: DataFrame, keys: Sequence[str] = (), label: str = "labe
     ``zero_if_one_class`` reports four zeros where truth and prediction together hold one class
     only, which is what unpacking a 1 x 1 matrix used to end in.
     """
-    rows = df.where(F.col(label).isNotNull())
+    rows = df.where(F.col(label).isin(0, 1))
     matrix = rows.groupBy(*keys).agg(*matrix_counts(F.col(label), hard_label(F.col(proba), threshold)))
     if not zero_if_one_class:
         return matrix
@@ -55,25 +55,26 @@ def with_rates(matrix: DataFrame) -> DataFrame:
     tn, fp, fn, tp = (F.col(c) for c in MATRIX)
     rows = tn + fp + fn + tp
 
-    def defined(value):
+    def of_rows(value):
         return F.when(rows > 0, value)
 
     return matrix.withColumns({
-        "accuracy": defined((tn + tp) / rows),
-        "precision": defined(_share(tp, tp + fp)),
-        "recall": defined(_share(tp, tp + fn)),
-        "f1_score": defined(_share(2 * tp, 2 * tp + fp + fn)),
+        "accuracy": of_rows((tn + tp) / rows),
+        "precision": of_rows(_share(tp, tp + fp)),
+        "recall": of_rows(_share(tp, tp + fn)),
+        "f1_score": of_rows(_share(2 * tp, 2 * tp + fp + fn)),
     })
 
 
 def log_loss(df: DataFrame, keys: Sequence[str] = (), label: str = "label",
              proba: str = "prediction") -> DataFrame:
-    """Mean log loss per group; null where the truth holds one class only."""
-    rows = df.where(F.col(label).isNotNull())
+    """Mean log loss per group; null where the truth holds one class only or a score is undefined."""
+    rows = df.where(F.col(label).isin(0, 1))
     positive = F.col(label) == 1
     loss = F.avg(row_log_loss(F.col(proba), positive))
-    mixed = (F.count_if(positive) > 0) & (F.count_if(~positive) > 0)
-    return rows.groupBy(*keys).agg(F.when(mixed, loss).alias("log_loss"))
+    usable = ((F.count_if(positive) > 0) & (F.count_if(~positive) > 0)
+              & (F.count_if(~defined(F.col(proba))) == 0))
+    return rows.groupBy(*keys).agg(F.when(usable, loss).alias("log_loss"))
 
 
 def predicted_rates(df: DataFrame, keys: Sequence[str] = (), label: str = "label",
@@ -88,11 +89,12 @@ def predicted_rates(df: DataFrame, keys: Sequence[str] = (), label: str = "label
 
 
 def _score_counts(df: DataFrame, keys: Sequence[str], label: str, proba: str) -> DataFrame:
-    """Positives and negatives per distinct score: ties, however many, leave as one row."""
+    """Positives and negatives per distinct score: ties, however many, leave as one row, and so do the
+    undefined scores (null). A truth other than 0 and 1 does not count."""
     return (df.select(*keys, nan_to_null(F.col(proba)).alias("score"), F.col(label).alias("truth"))
-            .where(F.col("score").isNotNull() & F.col("truth").isNotNull())
+            .where(F.col("truth").isin(0, 1))
             .groupBy(*keys, "score")
-            .agg(F.count_if(F.col("truth") == 1).alias("pos"), F.count_if(F.col("truth") != 1).alias("neg")))
+            .agg(F.count_if(F.col("truth") == 1).alias("pos"), F.count_if(F.col("truth") == 0).alias("neg")))
 
 
 def _by_score_chunk(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -121,17 +123,19 @@ def _area(chunks: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _chunk_sums() -> list[Column]:
     return [F.sum("pos").alias("chunk_pos"), F.sum("neg").alias("chunk_neg"),
-            F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2)).alias("area_inside")]
+            F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2)).alias("area_inside"),
+            F.sum(F.when(F.col("score").isNull(), F.col("pos") + F.col("neg")).otherwise(0)).alias("undefined")]
 
 
 def _auc_value() -> Column:
     pairs = F.sum("chunk_pos").cast("double") * F.sum("chunk_neg").cast("double")
-    return F.when(pairs > 0, F.sum("area") / pairs)
+    return F.when((pairs > 0) & (F.sum("undefined") == 0), F.sum("area") / pairs)
 
 
 def auc(df: DataFrame, keys: Sequence[str] = (), label: str = "label",
         proba: str = "prediction") -> DataFrame:
-    """Exact area under the ROC curve per group, ties counted half; null for a single class.
+    """Exact area under the ROC curve per group, ties counted half; null for a single class and for a
+    group that holds an undefined score.
 
     Two-level rank sum: distinct scores are ranked inside even value ranges, then the ranges are
     ranked per group, so no task sorts a whole group.
@@ -148,6 +152,9 @@ def evaluate(df: DataFrame, keys: Sequence[str] = (), label: str = "label", prob
 
     Confusion counts, log loss and histogram depend on a row only through (score, truth), so they
     ride along with the aggregation the exact AUC needs: one scan, no join of metric tables.
+
+    A row with an undefined score (null or NaN) is predicted 0: it is in the confusion counts and in
+    ``n_rows``, in no bin, and leaves its group without AUC and log loss.
     """
     counts = _score_counts(df, keys, label, proba)
     score, pos, neg = F.col("score"), F.col("pos"), F.col("neg")
@@ -165,7 +172,8 @@ def evaluate(df: DataFrame, keys: Sequence[str] = (), label: str = "label", prob
     totals = _area(chunks, keys).groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in MATRIX],
         _auc_value().alias("auc_roc"),
-        F.when((pos_rows > 0) & (neg_rows > 0), F.sum("loss") / (pos_rows + neg_rows)).alias("log_loss"),
+        F.when((pos_rows > 0) & (neg_rows > 0) & (F.sum("undefined") == 0),
+               F.sum("loss") / (pos_rows + neg_rows)).alias("log_loss"),
         F.expr(f"array({', '.join(f'sum(chunk_bins[{i}])' for i in range(len(config.PSI_EDGES) - 1))})").alias("bins"),
         (pos_rows + neg_rows).alias("n_rows"))
     return with_rates(totals).select(

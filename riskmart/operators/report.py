@@ -37,9 +37,9 @@ def latest_per_snapshot(history: DataFrame, keys: Sequence[str] = ("model_name",
 
 
 def latest_metrics(history: DataFrame) -> DataFrame:
-    """The record of the last snapshot, newest run first."""
+    """Per model the record of its last snapshot, of the newest run."""
     last = F.max_by(F.struct("snapshot_date", "model_name", *REPORTED), F.struct("snapshot_date", "monitored_at"))
-    return history.agg(last.alias("r")).select("r.*")
+    return history.groupBy("model_name").agg(last.alias("r")).select("r.*")
 
 
 def threshold_compliance(history: DataFrame) -> DataFrame:
@@ -51,11 +51,10 @@ def threshold_compliance(history: DataFrame) -> DataFrame:
 
 
 def monitoring_summary(history: DataFrame) -> DataFrame:
-    """First and last snapshot, number of records, model, mean metrics and share of passed records."""
-    return history.agg(
+    """Per model first and last snapshot, number of records, mean metrics and share of passed records."""
+    return history.groupBy("model_name").agg(
         F.min("snapshot_date").alias("first_snapshot"), F.max("snapshot_date").alias("last_snapshot"),
         F.count("*").alias("records"),
-        F.min_by("model_name", F.struct("snapshot_date", "monitored_at", "model_name")).alias("model_name"),
         *[F.avg(nan_to_null(F.col(c))).alias(f"avg_{c}") for c in REPORTED],
         (F.avg(F.col("check_all_passed").cast("int")) * 100).alias("pass_rate"))
 
@@ -78,9 +77,12 @@ def monitoring_series(history: DataFrame, limits: config.Thresholds = config.Thr
 def even_period_sample(df: DataFrame, date_col: str = "snapshot_date", periods: int = config.PERIOD_SAMPLE) -> DataFrame:
     """Evenly spaced snapshots, first and last included; all of them where there are few.
 
-    Works on the sorted array of distinct dates, which is as long as the calendar.
+    Works on the sorted array of distinct dates, which is as long as the calendar; a timestamp counts
+    as its day.
     """
-    days = df.agg(F.array_sort(F.collect_set(date_col)).alias("days")).withColumn("n", F.size("days"))
+    moment = dict(df.dtypes)[date_col].startswith("timestamp")
+    day = F.col(date_col).cast("date") if moment else F.col(date_col)
+    days = df.agg(F.array_sort(F.collect_set(day)).alias("days")).withColumn("n", F.size("days"))
     step = (F.col("n") - 1) / F.lit(float(periods - 1))
     spaced = F.transform(F.sequence(F.lit(0), F.lit(periods - 1)), lambda k: F.when(
         k == periods - 1, F.col("n") - 1).otherwise(F.floor(k * step).cast("int")))

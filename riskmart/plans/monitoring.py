@@ -39,11 +39,38 @@ def join_labels(predictions: DataFrame, labels: DataFrame, offset: int = config.
 def unmatched_keys(predictions: DataFrame, labels: DataFrame, key: str = "loan_id", n: int = 5) -> DataFrame:
     """The first ``n`` keys of either side without a partner, to explain an empty overlap."""
     def first(df, other, side):
-        alone = df.select(key).distinct().join(other.select(key).distinct(), key, "left_anti")
+        alone = df.select(key).join(other.select(key), key, "left_anti").distinct()
         return alone.orderBy(key).limit(n).select(F.lit(side).alias("side"), key)
     return first(predictions, labels, "predictions").unionByName(first(labels, predictions, "labels"))
 
 
+def period_and_baseline(scored: DataFrame, start: str, end: str) -> DataFrame:
+    """The predictions of a closed period and of each model's first snapshot.
+
+    The first dates come from the two columns that a predictions table is partitioned by, so that
+    scan reads no data column; one row per model is fetched and becomes part of a partition filter.
+    """
+    first = scored.groupBy("model_name").agg(F.min("snapshot_date").alias("day")).collect()
+    wanted = F.col("snapshot_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    for row in first:
+        if row["day"] is not None:
+            wanted = wanted | ((F.col("model_name") == row["model_name"]) & (F.col("snapshot_date") == F.lit(row["day"])))
+    return scored.where(wanted)
+
+
+def empty_overlap_keys(predictions: DataFrame, labels: DataFrame, report: DataFrame, n: int = 5,
+                       offset: int = config.LABEL_MOB) -> DataFrame:
+    """For snapshots that have labels but share no row with them: sample keys without a partner, by side.
+
+    Empty where every labelled snapshot of the report was measured on some row.
+    """
+    counted = F.col("true_negatives") + F.col("false_positives") + F.col("false_negatives") + F.col("true_positives")
+    empty = report.where("has_labels").where(counted == 0).select("model_name", "snapshot_date").distinct()
+    scored = prediction_snapshots(predictions).join(empty, KEYS, "left_semi")
+    months = empty.select(F.add_months("snapshot_date", offset).alias("snapshot_date")).distinct()
+    return unmatched_keys(scored, labels.join(months, "snapshot_date", "left_semi"), n=n)
+
+
 def monitoring_report(predictions: DataFrame, labels: DataFrame, offset: int = config.LABEL_MOB,
                       limits: config.Thresholds = config.Thresholds(),
                       threshold: float = config.SCORE_THRESHOLD, strict_psi: bool = False,
@@ -58,6 +85,8 @@ def monitoring_report(predictions: DataFrame, labels: DataFrame, offset: int = c
     everything after the score aggregation has one row per model and snapshot.
     """
     scored = prediction_snapshots(predictions)
+    if period:
+        scored = period_and_baseline(scored, *period)
     everyone = with_baseline(score_histogram(scored, KEYS), ["model_name"], "snapshot_date")
     if period:
         everyone, scored = in_range(everyone, *period), in_range(scored, *period)

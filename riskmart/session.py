@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,23 +23,32 @@ _unset_dirs: dict[str, str] = {}
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply JOIN_SETTINGS where the cluster's own configuration does not name them."""
-    given = spark.sparkContext.getConf()
+    """Apply JOIN_SETTINGS where neither the cluster's configuration nor the session names them."""
+    given, own = spark.sparkContext.getConf(), spark.conf.getAll
     for key, value in JOIN_SETTINGS.items():
-        if not given.contains(key):
+        if not given.contains(key) and key not in own:
             spark.conf.set(key, value)
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); a temporary one only where unset."""
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None)
+    """The folder all executors share: ``spark.checkpoint.dir``, else the context's checkpoint folder.
+
+    Without either a temporary folder serves a local master, whose one process sees it, until that
+    process ends. On several machines that folder would differ from one to the next, so there it is
+    an error.
+    """
+    context = spark.sparkContext
+    configured = (context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+                  or context.getCheckpointDir())
     if configured:
         return configured.rstrip("/")
-    app = spark.sparkContext.applicationId
+    if not (context.master == "local" or context.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    app = context.applicationId
     if app not in _unset_dirs:
         _unset_dirs[app] = tempfile.mkdtemp(prefix="riskmart-")
+        atexit.register(shutil.rmtree, _unset_dirs[app], ignore_errors=True)
     return _unset_dirs[app]
 
 
@@ -52,5 +65,29 @@ def written(df: DataFrame, label: str) -> DataFrame:
     ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise.
     """
     path = new_path(df.sparkSession, label)
+    for held in _scratch:
+        held.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_scratch: list[list[str]] = []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables ``written`` in this block are removed at its end; what is to stay is written elsewhere before."""
+    own: list[str] = []
+    _scratch.append(own)
+    try:
+        yield
+    finally:
+        _scratch.remove(own)
+        for path in own:
+            remove(spark, path)

@@ -12,12 +12,17 @@ from riskmart import config
 from riskmart.operators.report import best_model, registry_long
 
 
+#: Settings of each model, by the beginning of their names.
+PARAMETERS = {"LogisticRegression": ("logistic_",), "RandomForest": ("trees", "forest_"), "GradientBoosting": ("boosting_",)}
+
+
 def save_model(model: PipelineModel, root: str, name: str, features: Sequence[str],
                medians: Sequence[float], settings: config.ModelSettings, spark: SparkSession) -> None:
     """Save the fitted pipeline and its metadata row: features in matrix order, their training
     medians, parameters, time."""
     model.write().overwrite().save(f"{root}/models/{name}")
-    parameters = {k: str(v) for k, v in asdict(settings).items()}
+    own = PARAMETERS.get(name, ())
+    parameters = {k: str(v) for k, v in asdict(settings).items() if k.startswith(own) or k == "seed"}
     spark.range(1).select(
         F.lit(name).alias("model_name"), F.array(*[F.lit(c) for c in features]).alias("features"),
         F.array(*[F.lit(m).cast("double") for m in medians]).alias("medians"),

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from riskmart.session import remove
+
 SNAPSHOT = "snapshot_date"
 
 
@@ -30,9 +32,14 @@ def write_feed(df: DataFrame, path: str) -> None:
 
 
 def write_snapshots(df: DataFrame, path: str, by: Sequence[str] = (SNAPSHOT,),
-                    file_format: str = "parquet", gathered: bool = False) -> None:
+                    file_format: str = "parquet", gathered: bool = False,
+                    covered: tuple[str, str] | None = None) -> None:
     """Replace exactly the partitions the frame holds; running twice leaves the same table.
 
+    ``covered`` names the closed range of dates that this run answers for (``by`` then is one date
+    column): partitions in it that got no rows are removed, so that a snapshot that has become empty
+    does not keep its old rows.
+
     Rows in any order are rebalanced first: each partition's rows come together in few files, and a
     partition with a large share of the rows is split over several tasks. ``gathered`` says that the
     rows already lie by partition, as in the row-wise result of a table partitioned alike; then
@@ -46,6 +53,19 @@ def write_snapshots(df: DataFrame, path: str, by: Sequence[str] = (SNAPSHOT,),
        .partitionBy(*by)
        .format(file_format)
        .save(path))
+    if covered:
+        held = {str(r[0]) for r in df.select(*by).distinct().collect()}  # one row per partition
+        _empty(df.sparkSession, path, by[0], covered, held)
+
+
+def _empty(spark: SparkSession, path: str, by: str, covered: tuple[str, str], held: set[str]) -> None:
+    """Remove the partitions of a closed range that are not among ``held``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in store.listStatus(folder):
+        column, _, value = status.getPath().getName().partition("=")
+        if column == by and covered[0] <= value <= covered[1] and value not in held:
+            remove(spark, status.getPath().toString())
 
 
 def read_snapshots(spark: SparkSession, path: str, schema: T.StructType | None = None,

@@ -162,11 +162,12 @@ CTES["filled_training"] = (("training",), _filled("training", "split"))
 _LABEL = "case when (event_id * 37 + user_id * 11) % 10 < 3 then 1 else 0 end"
 CTES["scores"] = ((), f"""
   select cast(event_id as varchar) as loan_id, cast(user_id as varchar) as Customer_ID,
-    least(value / 100.0::double, 1.0::double) as p, {_LABEL} as label, cast(ts as date) as snapshot_date
+    value / (value + 50.0::double) as p, {_LABEL} as label, cast(ts as date) as snapshot_date
   from events""")
 CTES["preds"] = ((), f"""
   select 'alpha' as model_name, cast(event_id as varchar) as loan_id, cast(user_id as varchar) as Customer_ID,
-    least(value / 100.0::double, 1.0::double) as p, cast(ts as date) as snapshot_date from events
+    case when event_id % 997 = 5 then 'nan'::double when event_id % 991 = 7 then null
+         else value / (value + 50.0::double) end as p, cast(ts as date) as snapshot_date from events
   union all
   select 'beta', cast(event_id as varchar), cast(user_id as varchar),
     0.3::double * ({_LABEL}) + 0.7::double * (cast((event_id * 7919) % 1000 as double) / 1000.0::double),
@@ -180,14 +181,16 @@ CTES["joined"] = (("preds", "truth"), """
   from preds p join truth t on p.loan_id = t.loan_id and p.Customer_ID = t.Customer_ID
     and t.label_date = cast(p.snapshot_date + to_months(6) as date)""")
 CTES["doc_scores"] = ((), """
-  select l.doc_id, least(d.n_chars, 20000)::double / 20000 as p, l.quality as label
+  select l.doc_id, d.n_chars / (d.n_chars + 2000.0::double) as p, l.quality as label
   from labels l join documents d on l.doc_id = d.doc_id""")
 
 _LOSS = ("-(case when label = 1 then ln(least(greatest(p, 2.220446049250313e-16), 1 - 2.220446049250313e-16)) "
          "else ln(1 - least(greatest(p, 2.220446049250313e-16), 1 - 2.220446049250313e-16)) end)")
+_HIT = "coalesce(p >= 0.5 and not isnan(p), false)"  # NaN is above every number here
+_BLIND = "count(*) filter (where p is null or isnan(p)) > 0"
 _CELLS = {
-    "true_negatives": "label = 0 and p < 0.5", "false_positives": "label = 0 and p >= 0.5",
-    "false_negatives": "label = 1 and p < 0.5", "true_positives": "label = 1 and p >= 0.5",
+    "true_negatives": f"label = 0 and not {_HIT}", "false_positives": f"label = 0 and {_HIT}",
+    "false_negatives": f"label = 1 and not {_HIT}", "true_positives": f"label = 1 and {_HIT}",
 }
 
 
@@ -206,7 +209,7 @@ def rates(source):
 
 
 def loss(source, keys):
-    value = f"case when min(label) <> max(label) then avg({_LOSS}) end as log_loss"
+    value = f"case when {_BLIND} then null when min(label) <> max(label) then avg({_LOSS}) end as log_loss"
     return f"select {keys + ', ' if keys else ''}{value} from {source}{' group by ' + keys if keys else ''}"
 
 
@@ -215,10 +218,10 @@ def auc(source, keys):
     part = f"partition by {keys}" if keys else ""
     lead = f"{keys}, " if keys else ""
     same = f"partition by {keys}, p" if keys else "partition by p"
-    return f"""select {lead}case when n1 > 0 and n0 > 0 then (rank_sum - n1 * (n1 + 1) / 2) / (n1 * n0) end as auc_roc
-    from (select {lead}sum(case when label = 1 then mean_rank end) as rank_sum,
+    return f"""select {lead}case when not blind and n1 > 0 and n0 > 0 then (rank_sum - n1 * (n1 + 1) / 2) / (n1 * n0) end as auc_roc
+    from (select {lead}sum(case when label = 1 then mean_rank end) as rank_sum, {_BLIND} as blind,
             count(*) filter (where label = 1)::double as n1, count(*) filter (where label = 0)::double as n0
-          from (select {lead}label, rank() over ({part} order by p) + (count(*) over ({same}) - 1) / 2.0::double as mean_rank
+          from (select {lead}label, p, rank() over ({part} order by p) + (count(*) over ({same}) - 1) / 2.0::double as mean_rank
                 from {source}) ranked {'group by ' + keys if keys else ''}) sums"""
 
 
@@ -301,11 +304,10 @@ CTES["w_rates"] = (("w_matrix",), rates("w_matrix"))
 CTES["w_loss"] = (("joined_windows",), loss("joined_windows", "model_name, split"))
 CTES["w_auc"] = (("joined_windows",), auc("joined_windows", "model_name, split"))
 CTES["registry"] = (("w_rates", "w_loss", "w_auc"), """
-  select case when model_name = 'alpha' then 1 else 2 end as ordinal, model_name, split, metric, value from (
-    unpivot (select model_name, split, accuracy::double as accuracy, precision::double as precision, recall::double as recall,
-               f1_score::double as f1_score, auc_roc::double as auc_roc, log_loss::double as log_loss
-             from w_rates join w_loss using (model_name, split) join w_auc using (model_name, split))
-    on accuracy, precision, recall, f1_score, auc_roc, log_loss into name metric value value) u""")
+  select case when model_name = 'alpha' then 1 else 2 end as ordinal, model_name, split,
+    unnest(['accuracy', 'precision', 'recall', 'f1_score', 'auc_roc', 'log_loss']) as metric,
+    unnest([accuracy::double, precision::double, recall::double, f1_score::double, auc_roc::double, log_loss::double]) as value
+  from w_rates join w_loss using (model_name, split) join w_auc using (model_name, split)""")
 
 
 def sql(needs: str, body: str) -> str:
@@ -338,8 +340,12 @@ select {day("snapshot_date")}, count(*) as row_count, count(distinct loan_id) as
   cast(sum(cast(round(balance * 1000) as bigint)) as bigint) as balance_mills, count(overdue_amt) as overdue_present
 from loans group by snapshot_date""")
 
+_AGAIN = "case when year(snapshot_date) = 1997 then dpd + 1000 else dpd end"
 ORACLES["overwrite_idempotent"] = sql("s_loans_dpd", f"""
-select {day("snapshot_date")}, count(*) as row_count, cast(sum(dpd) as bigint) as dpd_sum from s_loans_dpd group by snapshot_date""")
+select {day("snapshot_date")}, count(*) as row_count, cast(sum({_AGAIN}) as bigint) as dpd_sum from s_loans_dpd group by snapshot_date""")
+ORACLES["rerun_covered_range"] = sql("s_loans_dpd", f"""
+select {day("snapshot_date")}, count(*) as row_count, cast(sum({_AGAIN}) as bigint) as dpd_sum from s_loans_dpd
+where snapshot_date <> date '1997-03-01' group by snapshot_date""")
 
 ORACLES["snapshot_row_counts"] = sql("loans", f"""
 select {day("snapshot_date")}, count(*) as row_count from loans group by snapshot_date""")
@@ -513,7 +519,7 @@ select loan_id, Customer_ID, {r6("p", "prediction_proba")}, case when p >= 0.5 t
   0.5::double as threshold, 'alpha' as model_name, {day("snapshot_date", "inference_date")} from scores""")
 ORACLES["resolve_predictions"] = sql("preds", f"""
 select {day("snapshot_date", "inference_date")}, case when day(snapshot_date) % 3 = 0 then 'unnamed'
-    when day(snapshot_date) % 2 = 1 then 'beta' else 'alpha' end as model_name, count(*) as n_rows, {r6("avg(p)", "mean_prediction")}
+    when day(snapshot_date) % 2 = 1 then 'beta' else 'alpha' end as model_name, count(*) as n_rows, {r6("avg(case when not isnan(p) then p end)", "mean_prediction")}
 from preds where model_name = case when day(snapshot_date) % 3 = 0 then 'alpha' when day(snapshot_date) % 2 = 1 then 'beta' else 'alpha' end
 group by snapshot_date""")
 ORACLES["aligned_label_join"] = sql("scores truth", f"""
@@ -522,7 +528,7 @@ from scores s join truth t on s.loan_id = t.loan_id and s.Customer_ID = t.Custom
   and t.label_date = cast(s.snapshot_date + to_months(6) as date)
 group by s.snapshot_date, t.label_date""")
 ORACLES["prediction_label_join"] = sql("joined", f"""
-select loan_id, Customer_ID, model_name, {day("snapshot_date")}, {r6("p", "prediction")}, label from joined""")
+select loan_id, Customer_ID, model_name, {day("snapshot_date")}, {r6("case when not isnan(p) then p end", "prediction")}, label from joined""")
 ORACLES["unmatched_keys"] = sql("scores truth", """
 (select 'predictions' as side, loan_id from scores where loan_id not in (select loan_id from truth) order by loan_id limit 5)
 union all
@@ -587,10 +593,13 @@ select model_name, {day("snapshot_date")}, has_labels, {_M6}, threshold, {_CELL_
 ORACLES["threshold_checks"] = sql("measured", f"""
 select model_name, {day("snapshot_date")}, {", ".join(r6(c, c) for c in ("auc_roc", "precision", "recall", "f1_score", "psi"))},
   {", ".join(_CHECKS)} from ({checked("measured", zero_is_ok=True)}) t""")
-ORACLES["monitoring_flat"] = sql("report", f"""
-select model_name, {day("snapshot_date")}, strftime(snapshot_date, '%Y-%m-%d') || 'T08:00:00' as monitored_at,
+ORACLES["monitoring_flat"] = sql("newest", f"""
+select model_name, {day("snapshot_date")}, monitored_at,
   {", ".join(r6(c, "metric_" + c) for c in _METRICS)}, threshold as metric_threshold,
-  {", ".join(f"{c} as metric_{c}" for c in _CELLS)}, {", ".join(f"{c} as check_{c}" for c in _CHECKS)} from report""")
+  {", ".join(f"{c} as metric_{c}" for c in _CELLS)}, {", ".join(f"{c} as check_{c}" for c in _CHECKS)} from newest""")
+ORACLES["monitoring_period"] = sql("report", f"""
+select model_name, {day("snapshot_date")}, has_labels, {_M6}, threshold, {_CELL_LIST}, {", ".join(_CHECKS)} from report
+where snapshot_date between date '2024-01-10' and date '2024-01-15'""")
 ORACLES["history_flatten"] = sql("history", f"""
 select model_name, {day("snapshot_date")}, monitored_at, {_M6}, threshold, {_CELL_LIST},
   {", ".join(f"{c} as check_{c}" for c in _CHECKS)} from history""")
@@ -603,15 +612,15 @@ ORACLES["history_latest"] = sql("newest", f"""
 select model_name, {day("snapshot_date")}, monitored_at, {r6("accuracy", "accuracy")}, {r6("auc_roc", "auc_roc")}, {r6("psi", "psi")} from newest""")
 ORACLES["latest_metrics"] = sql("history", f"""
 select {day("snapshot_date")}, model_name, {", ".join(r6(c, c) for c in _METRICS if c != "log_loss")}
-from history where model_name = 'beta' order by history.snapshot_date desc, monitored_at desc limit 1""")
+from history qualify row_number() over (partition by model_name order by history.snapshot_date desc, monitored_at desc) = 1""")
 _PASSED = "(auc_roc_check::int + precision_check::int + recall_check::int + f1_score_check::int)"
 ORACLES["threshold_compliance"] = sql("history", f"""
 select {day("snapshot_date")}, model_name, monitored_at, {_PASSED} as passed_checks, 4 as total_checks,
   {r6(f"{_PASSED} / 4.0::double * 100", "compliance_rate")} from history""")
 ORACLES["monitoring_summary"] = sql("history", f"""
 select {day("min(snapshot_date)", "first_snapshot")}, {day("max(snapshot_date)", "last_snapshot")}, count(*) as records,
-  min(model_name) as model_name, {", ".join(r6(f"avg({c})", "avg_" + c) for c in _METRICS if c != "log_loss")},
-  {r6("avg(all_passed::int) * 100", "pass_rate")} from history""")
+  model_name, {", ".join(r6(f"avg({c})", "avg_" + c) for c in _METRICS if c != "log_loss")},
+  {r6("avg(all_passed::int) * 100", "pass_rate")} from history group by model_name""")
 _SERIES = {"auc_roc": "0.7", "accuracy": "null", "precision": "0.6", "recall": "0.5", "f1_score": "0.55", "log_loss": "null",
            "psi": "0.2", "true_positives": "null", "false_positives": "null", "true_negatives": "null", "false_negatives": "null"}
 ORACLES["monitoring_series"] = sql("history", " union all ".join(
@@ -631,9 +640,9 @@ where snapshot_date between '2024-01-05' and '2024-01-28' and snapshot_date in (
         from (select count(distinct snapshot_date) as n from scores) c cross join (select unnest(range(10)) as k) ks) p
   join (select snapshot_date, row_number() over (order by snapshot_date) - 1 as i
         from (select distinct snapshot_date from scores) u) d on p.position = d.i)""")
-ORACLES["monitoring_records"] = sql("report", f"""
-select {day("snapshot_date")}, model_name, strftime(snapshot_date, '%Y-%m-%d') || 'T08:00:00' as monitored_at,
-  {r6("auc_roc", "auc_roc")}, true_positives, {r6("psi", "psi")}, all_passed, alert_level, 0.2::double as psi_critical from report""")
+ORACLES["monitoring_records"] = sql("newest", f"""
+select {day("snapshot_date")}, model_name, monitored_at,
+  {r6("auc_roc", "auc_roc")}, true_positives, {r6("psi", "psi")}, all_passed, alert_level, 0.2::double as psi_critical from newest""")
 _FAILS = {"auc_roc": 0.7, "precision": 0.6, "recall": 0.5, "f1_score": 0.55}
 ORACLES["retrain_trigger"] = sql("newest", f"""
 select model_name, {day("snapshot_date")}, repeated_failure, drifted, repeated_failure or drifted as retrain from (
@@ -649,3 +658,34 @@ ORACLES["registry_metrics"] = sql("registry", f"select ordinal, model_name, spli
 ORACLES["best_model"] = sql("registry", f"""
 select model_name, 'auc_roc' as selection_metric, {r6("value", "selection_score")} from registry
 where split = 'validation' and metric = 'auc_roc' order by value desc, ordinal limit 1""")
+
+# --- models: what SQL can derive of fits and scores -------------------------------------------
+
+_PARTS = "case when vec_id % 10 <= 6 then 'train' when vec_id % 10 <= 8 then 'validation' else 'test' end"
+for _query, _model in (("train_logreg", "LogisticRegression"), ("train_rf", "RandomForest"), ("train_gbt", "GradientBoosting")):
+    ORACLES[_query] = f"""
+select '{_model}' as model_name, {_PARTS} as split, count(*) as n_rows, count(*) filter (where label < 3) as positives,
+  count(*) as counted, true as in_range, true as beats_chance{", true as at_optimum" if _query == "train_logreg" else ""}
+from embeddings group by 2"""
+ORACLES["registry_long"] = """
+select cast(o as int) as ordinal, m as model_name, split, metric, true as in_range
+from (values (1, 'LogisticRegression'), (2, 'RandomForest'), (3, 'GradientBoosting')) a(o, m)
+cross join (values ('train'), ('validation'), ('test')) b(split)
+cross join (values ('accuracy'), ('precision'), ('recall'), ('f1_score'), ('auc_roc'), ('log_loss')) c(metric)"""
+_SCORED = "features where snapshot_date between date '2001-01-01' and date '2001-08-01'"
+ORACLES["score_range"] = sql("features", f"""
+select {day("snapshot_date", "inference_date")}, count(*) as n_rows, true as in_range from {_SCORED} group by snapshot_date""")
+ORACLES["score_best"] = sql("features", f"""
+select loan_id, Customer_ID, 0.5::double as threshold, {day("snapshot_date", "inference_date")}, true as in_range, true as label_agrees
+from {_SCORED}""")
+ORACLES["degradation_from_validation"] = sql("newest registry", f"""
+select n.model_name, {day("n.snapshot_date")}, {r6("n.auc_roc", "value")}, {r6("r.value", "baseline")},
+  coalesce(n.auc_roc < r.value * (1 - 0.05), false) as degraded
+from newest n left join (select model_name, value from registry where metric = 'auc_roc' and split = 'validation') r
+  on n.model_name = r.model_name""")
+ORACLES["scheduled_retraining"] = sql("label_rows", f"""
+select 'alpha' as model_name, {day("snapshot_date")}, spell > 0 and spell > coalesce(lag(spell) over w, 0) as scheduled,
+  rate > 0.2 or (fails and coalesce(lag(fails) over w, false)) or (spell > 0 and spell > coalesce(lag(spell) over w, 0)) as retrain
+from (select snapshot_date, rate, rate < 0.7 as fails, datediff('month', min(snapshot_date) over (), snapshot_date) // 2 as spell
+      from (select snapshot_date, avg(label) as rate from label_rows group by snapshot_date) r) q
+window w as (order by snapshot_date)""")

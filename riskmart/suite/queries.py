@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from riskmart import config
+from riskmart.functions.cleaning import nan_to_null
 from riskmart.functions.dates import month_calendar, snapshot_tag, tag_date
 from riskmart.operators import checks, drift, metrics, models, prep, quality, readiness, report, silver, stats
 from riskmart.plans import medallion, monitoring, scoring, training
-from riskmart.session import new_path, tune
+from riskmart.session import new_path, tune, written
 from riskmart.sources import history, predictions as prediction_table, registry, snapshots
 from riskmart.suite import tables
 
@@ -79,15 +80,26 @@ def bronze_roundtrip(spark, sf_dir):
 
 @query
 def overwrite_idempotent(spark, sf_dir):
-    """Writing a year again replaces that year and leaves the rest."""
+    """Writing a year again, with other rows, replaces that year and leaves the rest."""
+    return _rerun(spark, sf_dir, "true")
+
+
+def _rerun(spark, sf_dir, kept, covered=None):
     path = new_path(spark, "silver")
     loans = tables.silver_loans(spark, sf_dir)
     snapshots.write_snapshots(loans, path)
-    snapshots.write_snapshots(snapshots.in_range(loans, "1997-01-01", "1997-12-01"), path)
+    year = snapshots.in_range(loans, "1997-01-01", "1997-12-01").withColumn("dpd", F.expr("cast(dpd + 1000 as int)"))
+    snapshots.write_snapshots(year.where(kept), path, covered=covered)
     again = snapshots.read_snapshots(spark, path, loans.schema)
     return again.groupBy("snapshot_date").agg(F.count("*").alias("row_count"), F.sum("dpd").alias("dpd_sum"))
 
 
+@query
+def rerun_covered_range(spark, sf_dir):
+    """A re-run of a year in which one month has no rows any more empties that month."""
+    return _rerun(spark, sf_dir, "snapshot_date <> date'1997-03-01'", ("1997-01-01", "1997-12-01"))
+
+
 @query
 def snapshot_row_counts(spark, sf_dir):
     return quality.snapshot_counts(tables.loans(spark, sf_dir))
@@ -118,21 +130,19 @@ def month_calendar_span(spark, sf_dir):
 @query
 def missing_snapshots(spark, sf_dir):
     """Months of a range in which no loan starts."""
-    return readiness.missing_snapshots(tables.silver_loans(spark, sf_dir).where("mob = 0"), "1994-09-01", "2001-12-01")
+    return readiness.missing_snapshots(tables.gold_features(spark, sf_dir), "1994-09-01", "2001-12-01")
 
 
 @query
 def training_readiness(spark, sf_dir):
     splits = {**tables.SPLITS, "train": ("1994-10-15", "1998-12-01"), "test": ("2000-01-01", "2002-03-01")}
-    loans = tables.silver_loans(spark, sf_dir)
-    return readiness.training_readiness(loans.where("mob = 0"), loans.where("mob = 6"), splits)
+    return readiness.training_readiness(tables.gold_features(spark, sf_dir), tables.gold_labels(spark, sf_dir), splits)
 
 
 @query
 def oot_readiness(spark, sf_dir):
     splits = {"oot": ("2001-06-01", "2001-12-01")}
-    loans = tables.silver_loans(spark, sf_dir)
-    return readiness.oot_readiness(loans.where("mob = 0"), loans.where("mob = 6"), splits)
+    return readiness.oot_readiness(tables.gold_features(spark, sf_dir), tables.gold_labels(spark, sf_dir), splits)
 
 
 # --- silver and gold --------------------------------------------------------------------------
@@ -301,12 +311,12 @@ def feature_medians(spark, sf_dir):
 @query
 def imputed_features(spark, sf_dir):
     """Scoring matrix, missing values filled per snapshot."""
-    rows = prep.inference_matrix(tables.gold_features(spark, sf_dir), tables.FEATURES)
+    rows = written(prep.inference_matrix(tables.gold_features(spark, sf_dir), tables.FEATURES), "matrix")
     return stats.impute_scoring(rows, tables.FEATURES, ["snapshot_date"])
 
 
 def _imputed_training(spark, sf_dir):
-    matrix = prep.train_matrix(_training(spark, sf_dir), tables.FEATURES)
+    matrix = written(prep.train_matrix(_training(spark, sf_dir), tables.FEATURES), "matrix")  # read once per pass
     return stats.impute_training(matrix, tables.FEATURES, ["split"])
 
 
@@ -323,7 +333,7 @@ def scaler_stats(spark, sf_dir):
 @query
 def scaled_features(spark, sf_dir):
     """All splits, scaled by the training split."""
-    rows = _imputed_training(spark, sf_dir)
+    rows = written(_imputed_training(spark, sf_dir), "imputed")
     return stats.standardise(rows, rows.where("split = 'train'"), tables.FEATURES)
 
 
@@ -355,7 +365,7 @@ def resolve_predictions(spark, sf_dir):
     named = rows.where((F.col("model_name") == "alpha") | (day % 2 == 1))
     chosen = prediction_table.resolve(named.unionByName(unnamed), best_model="beta")
     return chosen.groupBy("inference_date", F.coalesce("model_name", F.lit("unnamed")).alias("model_name")).agg(
-        F.count("*").alias("n_rows"), F.avg("prediction").alias("mean_prediction"))
+        F.count("*").alias("n_rows"), F.avg(nan_to_null(F.col("prediction"))).alias("mean_prediction"))
 
 
 @query
@@ -369,7 +379,8 @@ def aligned_label_join(spark, sf_dir):
 def prediction_label_join(spark, sf_dir):
     joined = monitoring.join_labels(monitoring.prediction_snapshots(tables.predictions(spark, sf_dir)),
                                     tables.observed_labels(spark, sf_dir))
-    return joined.select("loan_id", "Customer_ID", "model_name", "snapshot_date", "prediction", "label")
+    return joined.select("loan_id", "Customer_ID", "model_name", "snapshot_date",
+                         nan_to_null(F.col("prediction")).alias("prediction"), "label")
 
 
 @query
@@ -453,6 +464,13 @@ def monitoring_report(spark, sf_dir):
     return tables.report(spark, sf_dir)
 
 
+@query
+def monitoring_period(spark, sf_dir):
+    """One period of the stored predictions table against the baseline of all."""
+    stored = tables.stored_predictions(spark, sf_dir)
+    return monitoring.monitoring_report(stored, tables.observed_labels(spark, sf_dir), period=("2024-01-10", "2024-01-15"))
+
+
 @query
 def threshold_checks(spark, sf_dir):
     """Checks with an index of 0 reported as OK."""
@@ -463,20 +481,25 @@ def threshold_checks(spark, sf_dir):
 
 @query
 def monitoring_flat(spark, sf_dir):
-    """Nested records written as flat Parquet and read back."""
+    """Nested records of two runs written as flat Parquet, the second in place of the first, and read back."""
     path = new_path(spark, "monitoring")
-    records = tables.records(spark, sf_dir).where("monitored_at like '%T08:00:00'")
-    history.write_flat(records, path)
-    return snapshots.read_snapshots(spark, path, history.flat(records).schema)
+    first, again = _two_runs(spark, sf_dir)
+    history.write_flat(first, path)
+    history.write_flat(again, path)
+    return snapshots.read_snapshots(spark, path, history.flat(first).schema)
+
+
+def _two_runs(spark, sf_dir):
+    records = tables.records(spark, sf_dir)
+    return [records.where(f"monitored_at like '%{time}'") for time in ("T08:00:00", "T20:00:00")]
 
 
 def _history(spark, sf_dir):
     """Records appended in two runs to the history, read back flat."""
     def build():
         path = new_path(spark, "history")
-        records = tables.records(spark, sf_dir)
-        history.append_history(records.where("monitored_at like '%T08:00:00'"), path)
-        history.append_history(records.where("monitored_at like '%T20:00:00'"), path)
+        for records in _two_runs(spark, sf_dir):
+            history.append_history(records, path)
         return history.history_rows(history.read_history(spark, path))
     return tables.stored(spark, sf_dir, "history-rows", build)
 
@@ -506,7 +529,7 @@ def history_latest(spark, sf_dir):
 
 @query
 def latest_metrics(spark, sf_dir):
-    return report.latest_metrics(_history(spark, sf_dir).where("model_name = 'beta'"))
+    return report.latest_metrics(_history(spark, sf_dir))
 
 
 @query
@@ -537,9 +560,10 @@ def sampled_density(spark, sf_dir):
 
 @query
 def monitoring_records(spark, sf_dir):
-    """Nested records written as JSON per model and snapshot, read back."""
+    """Nested records of two runs written as JSON per model and snapshot, the second in place of the first."""
     path = new_path(spark, "records")
-    history.write_records(tables.records(spark, sf_dir).where("monitored_at like '%T08:00:00'"), path)
+    for records in _two_runs(spark, sf_dir):
+        history.write_records(records, path)
     back = history.read_history(spark, path)
     return back.select("snapshot_date", "model_name", "monitored_at", "metrics.auc_roc", "metrics.true_positives", "metrics.psi",
                        "threshold_checks.all_passed", "threshold_checks.alert_level", "thresholds.psi_critical")
@@ -555,6 +579,22 @@ def performance_degradation(spark, sf_dir):
     return checks.performance_degradation(report.latest_per_snapshot(_history(spark, sf_dir)))
 
 
+@query
+def degradation_from_validation(spark, sf_dir):
+    """Against the validation score that the registry holds."""
+    return checks.performance_degradation(report.latest_per_snapshot(_history(spark, sf_dir)),
+                                          registry=_score_registry(spark, sf_dir))
+
+
+@query
+def scheduled_retraining(spark, sf_dir):
+    """Label months as periods, retraining every second month."""
+    rates = tables.labels(spark, sf_dir).groupBy("snapshot_date").agg(F.avg("label").alias("rate"))
+    rows = rates.select(F.lit("alpha").alias("model_name"), "snapshot_date", F.col("rate").alias("auc_roc"),
+                        *[F.col("rate").alias(c) for c in ("precision", "recall", "f1_score", "psi")])
+    return checks.retrain_trigger(rows, every_months=2).select("model_name", "snapshot_date", "scheduled", "retrain")
+
+
 # --- models -----------------------------------------------------------------------------------
 
 def _score_registry(spark, sf_dir):
@@ -578,16 +618,33 @@ def best_model(spark, sf_dir):
     return report.best_model(_score_registry(spark, sf_dir))
 
 
-def _fitted(spark, sf_dir, name):
+_RATES = ("accuracy", "precision", "recall", "f1_score", "auc_roc")
+
+
+def _in_range(columns, top="1"):
+    return F.expr(" and ".join(f"{c} between 0 and {top}" for c in columns))
+
+
+def _fitted(spark, sf_dir, name, checks=None):
+    """Facts about a fit: rows and positives per split, every row counted once, measures within their range, and a
+    training AUC above one half. The measures themselves depend on the engine's random draws."""
     frame = tables.stored(spark, sf_dir, "vectors", lambda: tables.vectors(spark, sf_dir))
     train = frame.where("split = 'train'")
     model = models.fit(name, train, tables.VECTOR_FEATURES)
-    return models.evaluate_splits(models.score(model, frame, name))
+    found = metrics.evaluate(models.score(model, frame, name), ["model_name", "split"])
+    return found.select(
+        "model_name", "split", "n_rows", F.expr("false_negatives + true_positives").alias("positives"),
+        F.expr("true_negatives + false_positives + false_negatives + true_positives").alias("counted"),
+        (_in_range(_RATES) & (F.col("log_loss") >= 0)).alias("in_range"),
+        F.expr("split <> 'train' or auc_roc > 0.5").alias("beats_chance"),
+        *[F.lit(value).alias(c) for c, value in (checks(model, train) if checks else {}).items()])
 
 
 @query
 def train_logreg(spark, sf_dir):
-    return _fitted(spark, sf_dir, "LogisticRegression")
+    """At the optimum the gradient of the penalised objective vanishes."""
+    return _fitted(spark, sf_dir, "LogisticRegression", lambda model, train: {
+        "at_optimum": models.gradient_norm(model, train, len(tables.VECTOR_FEATURES)) < 1e-4})
 
 
 @query
@@ -605,9 +662,9 @@ def _trained_root(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _roots:
         frame, columns = training.model_frame(tables.gold_features(spark, sf_dir), tables.gold_labels(spark, sf_dir),
-                                              tables.SPLITS, tables.FEATURES[:10])
+                                              tables.SPLITS, tables.FEATURES)
         root = new_path(spark, "registry")
-        training.train_all(frame, columns, root, ("LogisticRegression", "RandomForest"))
+        training.train_all(frame, columns, root)
         _roots[key] = root
     return _roots[key]
 
@@ -617,8 +674,11 @@ _roots: dict[tuple, str] = {}
 
 @query
 def registry_long(spark, sf_dir):
-    """Registry table of models trained on the mart's own feature store."""
-    return registry.read_registry(spark, _trained_root(spark, sf_dir))
+    """Registry table of the models trained on the mart's own feature store: every model, split and metric."""
+    value, loss = F.col("value"), F.col("metric") == "log_loss"
+    inside = F.when(loss, value >= 0).otherwise(value.between(0, 1))
+    return registry.read_registry(spark, _trained_root(spark, sf_dir)).select(
+        "ordinal", "model_name", "split", "metric", inside.alias("in_range"))
 
 
 @query
@@ -627,11 +687,14 @@ def score_range(spark, sf_dir):
     root, path = _trained_root(spark, sf_dir), new_path(spark, "scored")
     features = tables.gold_features(spark, sf_dir)
     scoring.score_range(features, root, path, *tables.SPLITS["oot"])
-    return scoring.scored_summary(spark.read.parquet(path))
+    return scoring.scored_summary(spark.read.parquet(path)).select(
+        F.col("inference_date").cast("string").alias("inference_date"), "n_rows",
+        _in_range(["mean_probability", "predicted_rate"]).alias("in_range"))
 
 
 @query
 def score_best(spark, sf_dir):
     """Scored rows of the out-of-time snapshots."""
     rows = scoring.score_snapshots(tables.gold_features(spark, sf_dir), _trained_root(spark, sf_dir), *tables.SPLITS["oot"])
-    return rows.select("loan_id", "Customer_ID", "prediction_proba", "prediction_label", "threshold", "inference_date")
+    return rows.select("loan_id", "Customer_ID", "threshold", "inference_date", _in_range(["prediction_proba"]).alias("in_range"),
+                       F.expr("(prediction_label = 1) = (prediction_proba >= threshold)").alias("label_agrees"))

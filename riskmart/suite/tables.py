@@ -10,6 +10,7 @@ from riskmart.operators.silver import (silver_attributes, silver_clickstream, si
                                        silver_loan_daily)
 from riskmart.plans.monitoring import monitoring_records, monitoring_report
 from riskmart.session import new_path, written
+from riskmart.sources.predictions import write_predictions
 from riskmart.sources.snapshots import read_snapshots, union_all, write_snapshots
 
 SPLITS = {
@@ -53,18 +54,11 @@ def stored(spark, sf_dir, name, build, by_snapshot: bool = False) -> DataFrame:
     return _stored[key]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a table of fewer input splits than cores to all cores before it is expanded. Larger tables
-    pass unchanged."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def loans(spark, sf_dir) -> DataFrame:
     """Eleven monthly instalments per order, some of them overdue."""
     start = F.expr("cast(date_trunc('month', o_orderdate) as date)")
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", start.alias("d0"))
-    panel = spread(orders).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(10))))
+    panel = orders.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(10))))
     late = F.expr("case when i > 0 and (o_orderkey * 7 + o_custkey) % 5 = 0 "
                   "then least(i, cast(1 + o_orderkey % 4 as int)) else 0 end")
     part = F.col("o_totalprice") / 10
@@ -158,14 +152,19 @@ def scores(spark, sf_dir) -> DataFrame:
     """Scores with their truth; one snapshot per day of events."""
     return read(spark, sf_dir, "events").selectExpr(
         "cast(event_id as string) as loan_id", "cast(user_id as string) as Customer_ID",
-        "least(value / 100.0D, 1.0D) as prediction", f"{_LABEL} as label", "cast(ts as date) as snapshot_date")
+        "value / (value + 50.0D) as prediction", f"{_LABEL} as label", "cast(ts as date) as snapshot_date")
+
+
+# some of alpha's scores are undefined, as those of a model that failed on a row
+_ALPHA = ("case when event_id % 997 = 5 then double('NaN') when event_id % 991 = 7 then null "
+          "else value / (value + 50.0D) end")
 
 
 def predictions(spark, sf_dir) -> DataFrame:
     """Two models' predictions: one ignorant of the truth, one that leans towards it."""
     events = read(spark, sf_dir, "events")
     models = F.array(
-        F.struct(F.lit("alpha").alias("model_name"), F.expr("least(value / 100.0D, 1.0D)").alias("prediction_proba")),
+        F.struct(F.lit("alpha").alias("model_name"), F.expr(_ALPHA).alias("prediction_proba")),
         F.struct(F.lit("beta").alias("model_name"),
                  F.expr(f"0.3D * {_LABEL} + 0.7D * ((event_id * 7919) % 1000 / 1000.0D)").alias("prediction_proba")))
     return events.select(
@@ -173,6 +172,18 @@ def predictions(spark, sf_dir) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd").alias("inference_date"), F.inline(models))
 
 
+def stored_predictions(spark, sf_dir) -> DataFrame:
+    """The predictions as the partitioned table that scoring writes."""
+    def build():
+        rows, path = predictions(spark, sf_dir), new_path(spark, "predictions-table")
+        write_predictions(rows, path)
+        return read_snapshots(spark, path, rows.schema)
+    key = (spark.sparkContext.applicationId, sf_dir, "predictions-table")
+    if key not in _stored:
+        _stored[key] = build()
+    return _stored[key]
+
+
 def observed_labels(spark, sf_dir) -> DataFrame:
     """Truth six months on. Loans that ended in an error never get a label, and the last days have
     none yet."""
@@ -184,7 +195,7 @@ def observed_labels(spark, sf_dir) -> DataFrame:
 
 def document_scores(spark, sf_dir) -> DataFrame:
     """Length-based scores of labelled documents: unbalanced truth, one global group."""
-    length = F.least("n_chars", F.lit(20000)).cast("double") / 20000
+    length = F.expr("n_chars / (n_chars + 2000.0D)")
     return (read(spark, sf_dir, "labels").join(read(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id")
             .select("doc_id", length.alias("prediction"), F.col("quality").alias("label")))
 
