@@ -1,6 +1,7 @@
 """Incremental landing: the monthly arrival of feed files as a stream that runs until it is up to date.
 
-Each new file in the landing folder is read once; its snapshots are replaced in bronze. A trigger of
+Each new file in the landing folder is read once; its rows land in bronze below their snapshot and the number
+of the delivery, so a snapshot that arrives in several deliveries keeps them all. A trigger of
 ``availableNow`` makes the stream a batch job that remembers what it has read.
 """
 
@@ -8,24 +9,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from riskmart.sources.snapshots import text_schema, write_snapshots
+from riskmart.sources.snapshots import SNAPSHOT, read_snapshots, text_schema, write_snapshots
+
+DELIVERY = "delivery"
 
 
 def land_feed(spark: SparkSession, landing: str, columns: Sequence[str], bronze_path: str,
               checkpoint: str) -> StreamingQuery:
     """Start landing everything that has arrived since the last run; ``awaitTermination`` to finish.
 
-    A micro-batch that is repeated after a failure overwrites the same partitions with the same rows.
+    A micro-batch that is repeated after a failure has the same number, so it overwrites its own rows only.
     """
     arrivals = (spark.readStream.schema(text_schema(columns)).option("header", "true").csv(landing))
 
-    def replace(batch: DataFrame, _batch_id: int) -> None:
-        write_snapshots(batch, bronze_path)
+    def replace(batch: DataFrame, number: int) -> None:
+        write_snapshots(batch.withColumn(DELIVERY, F.lit(number)), bronze_path, by=(SNAPSHOT, DELIVERY))
 
     return (arrivals.writeStream.foreachBatch(replace)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())
+
+
+def landed(spark: SparkSession, columns: Sequence[str], bronze_path: str) -> DataFrame:
+    """What has landed so far: the union of all deliveries."""
+    schema = text_schema(columns).add(DELIVERY, T.IntegerType())
+    return read_snapshots(spark, bronze_path, schema).drop(DELIVERY)

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from riskmart.functions.dates import range_calendar, snapshot_tag, tag_date
 from riskmart.operators import quality, readiness
 from riskmart.plans.monitoring import join_labels, prediction_snapshots, unmatched_keys
-from riskmart.session import new_path, shared_dir
+from riskmart.session import new_path, scratch, shared_dir, tune, written
 from riskmart.sources import predictions, snapshots
-from riskmart.streaming.landing import land_feed
+from riskmart.streaming.landing import land_feed, landed
 
 
 def rows(spark, data):
@@ -74,8 +74,74 @@ def test_landing_reads_each_delivery_once(spark):
         spark.createDataFrame([("a", value, day)], "k string, v string, snapshot_date string").write.mode("append").csv(landing, header=True)
         land_feed(spark, landing, columns, bronze, checkpoint).awaitTermination()
     land_feed(spark, landing, columns, bronze, checkpoint).awaitTermination()
-    table = snapshots.read_snapshots(spark, bronze, snapshots.text_schema(columns))
+    table = landed(spark, columns, bronze)
     assert {tuple(r[c] for c in columns) for r in table.collect()} == {("a", "1", "2023-01-01"), ("a", "2_", "2023-02-01")}
+    spark.createDataFrame([("b", "3", "2023-02-01"), ("c", "4", "2023-02-01")], "k string, v string, snapshot_date string").write.mode("append").csv(landing, header=True)
+    land_feed(spark, landing, columns, bronze, checkpoint).awaitTermination()
+    assert sorted(r.k for r in landed(spark, columns, bronze).where("snapshot_date = '2023-02-01'").collect()) == ["a", "b", "c"]
+
+
+def test_covered_range_is_emptied(spark):
+    path = new_path(spark, "test")
+    first = rows(spark, [(f"k{m}", m, f"2023-{m:02d}-01") for m in (1, 2, 3, 4)])
+    snapshots.write_snapshots(first, path)
+    snapshots.write_snapshots(rows(spark, [("new", 9, "2023-03-01")]), path, covered=("2023-02-01", "2023-03-01"))
+    table = snapshots.read_snapshots(spark, path, first.schema)
+    assert {(r.k, str(r.snapshot_date)) for r in table.collect()} == {("k1", "2023-01-01"), ("new", "2023-03-01"), ("k4", "2023-04-01")}
+    snapshots.write_snapshots(first.limit(0), path, covered=("2023-04-01", "2023-04-01"))
+    assert snapshots.read_snapshots(spark, path, first.schema).count() == 2
+
+
+class _Context:
+    """As much of a context as choosing the folder looks at."""
+
+    applicationId = "app-1"
+
+    def __init__(self, master, folder=None):
+        self.master, self._folder = master, folder
+
+    def getConf(self):
+        return {}
+
+    def getCheckpointDir(self):
+        return self._folder
+
+
+class _Session:
+    def __init__(self, *context):
+        self.sparkContext = _Context(*context)
+        self.conf = self
+
+    def get(self, _key, default=None):
+        return default
+
+
+def test_several_machines_need_a_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_Session("spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_Session("local-cluster[2,1,1024]"))
+    assert shared_dir(_Session("yarn", "hdfs:///scratch/")) == "hdfs:///scratch"
+
+
+def test_scratch_tables_go(spark):
+    import os
+    with scratch(spark):
+        held = written(spark.range(3), "gone")
+        path = held.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+        assert held.count() == 3 and os.path.isdir(path)
+    assert not os.path.exists(path)
+
+
+def test_tune_keeps_what_the_session_sets(spark):
+    key = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "false")
+        tune(spark)
+        assert spark.conf.get(key) == "false"
+    finally:
+        spark.conf.set(key, before)
 
 
 def test_union_fills_absent_columns(spark):

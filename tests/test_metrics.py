@@ -176,3 +176,26 @@ def test_checks_and_alert_levels(spark):
     assert (empty.alert_level, empty.psi_critical) == ("CRITICAL", False)
     assert checked(spark, 0.5).all_passed and not checked(spark, precision=0.59).all_passed
     assert not math.isnan(checked(spark).psi)
+
+
+def test_undefined_scores_are_counted(spark):
+    """Four of six rows without a score: predicted 0, in no bin, and no AUC or log loss for their group."""
+    nan = float("nan")
+    df = frame(spark, [0, 0, 1, 1, 0, 1, 0, 1], [0.1, nan, None, nan, None, 0.9, 0.2, 0.8], ["g"] * 6 + ["h"] * 2)
+    got = {r.g: r for r in metrics.evaluate(df, ["g"]).collect()}
+    matrix = {r.g: tuple(r[c] for c in metrics.MATRIX) for r in metrics.confusion_matrix(df, ["g"]).collect()}
+    assert matrix["g"] == (3, 0, 2, 1) == tuple(got["g"][c] for c in metrics.MATRIX)
+    assert got["g"].n_rows == 6 and sum(got["g"].bins) == 2 and got["g"].accuracy == pytest.approx(4 / 6)
+    assert got["g"].auc_roc is None and got["g"].log_loss is None
+    assert got["h"].auc_roc == 1.0 and got["h"].log_loss > 0
+    assert {r.g: r.log_loss for r in metrics.log_loss(df, ["g"]).collect()}["g"] is None
+    assert {r.g: r.auc_roc for r in metrics.auc(df, ["g"]).collect()} == {"g": None, "h": 1.0}
+    histogram = {r.g: (list(r.bins), r.n_rows) for r in drift.score_histogram(df, ["g"]).collect()}
+    assert histogram["g"] == (list(got["g"].bins), 6)
+
+
+def test_other_truths_do_not_count(spark):
+    df = frame(spark, [0, 1, 2, -1], [0.1, 0.9, 0.9, 0.1])
+    assert tuple(metrics.confusion_matrix(df).first()) == (1, 0, 0, 1)
+    got = metrics.evaluate(df).first()
+    assert (got.n_rows, got.accuracy, got.auc_roc) == (2, 1.0, 1.0)
