@@ -404,8 +404,11 @@ from label_rows group by snapshot_date""")
 
 ORACLES["medallion_backfill"] = sql("features label_rows", f"""
 select strftime(coalesce(f.snapshot_date, l.snapshot_date), '%Y-%m-%d') as snapshot_date, feature_rows, with_age, with_income,
-  label_rows, defaults
-from (select snapshot_date, count(*) as feature_rows, count(customer_age) as with_age, count(Annual_Income) as with_income
+  amount_cents, age_sum, with_band, loan_count_sum, fe_1_cents, label_rows, defaults
+from (select snapshot_date, count(*) as feature_rows, count(customer_age) as with_age, count(Annual_Income) as with_income,
+        cast(sum(cast(round(cast(loan_amt as double) * 100) as bigint)) as bigint) as amount_cents,
+        cast(sum(customer_age) as bigint) as age_sum, count(age_group) as with_band, cast(sum(Num_of_Loan) as bigint) as loan_count_sum,
+        cast(sum(cast(round(cast(fe_1 as double) * 100) as bigint)) as bigint) as fe_1_cents
       from features group by snapshot_date) f
 full join (select snapshot_date, count(*) as label_rows, cast(sum(label) as bigint) as defaults
            from label_rows group by snapshot_date) l on f.snapshot_date = l.snapshot_date""")

@@ -192,16 +192,14 @@ def default_rate(spark, sf_dir):
 @query
 def medallion_backfill(spark, sf_dir):
     """Four raw CSV feeds through bronze, silver and gold; what the gold tables then hold per snapshot."""
-    feeds = {}
-    for name, build in (("loan_daily", tables.loans), ("attributes", tables.attributes),
-                        ("financials", tables.financials), ("clickstream", tables.clickstream)):
-        rows, path = build(spark, sf_dir), new_path(spark, f"feed-{name}")
-        snapshots.write_feed(rows, path)
-        feeds[name] = (path, rows.columns)
-    built = medallion.backfill(spark, medallion.Mart(new_path(spark, "mart")), feeds, tables.COLUMNS)
+    built = medallion.backfill(spark, medallion.Mart(new_path(spark, "mart")), tables.feeds(spark, sf_dir), tables.COLUMNS)
+    cents = F.expr("cast(sum(cast(round(cast(loan_amt as double) * 100) as bigint)) as bigint)")
     features = built["feature_store"].groupBy("snapshot_date").agg(
         F.count("*").alias("feature_rows"), F.count("customer_age").alias("with_age"),
-        F.count("Annual_Income").alias("with_income"))
+        F.count("Annual_Income").alias("with_income"), cents.alias("amount_cents"),
+        F.sum("customer_age").alias("age_sum"), F.count_if(F.col("age_group").isNotNull()).alias("with_band"),
+        F.sum("Num_of_Loan").alias("loan_count_sum"),
+        F.expr("cast(sum(cast(round(cast(fe_1 as double) * 100) as bigint)) as bigint)").alias("fe_1_cents"))
     labels = built["label_store"].groupBy("snapshot_date").agg(
         F.count("*").alias("label_rows"), F.sum("label").alias("defaults"))
     return features.join(labels, "snapshot_date", "full")

@@ -11,7 +11,7 @@ from riskmart.operators.silver import (silver_attributes, silver_clickstream, si
 from riskmart.plans.monitoring import monitoring_records, monitoring_report
 from riskmart.session import new_path, written
 from riskmart.sources.predictions import write_predictions
-from riskmart.sources.snapshots import read_snapshots, union_all, write_snapshots
+from riskmart.sources.snapshots import read_snapshots, union_all, write_feed, write_snapshots
 
 SPLITS = {
     "train": ("1995-01-01", "1998-12-01"),
@@ -172,6 +172,19 @@ def predictions(spark, sf_dir) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd").alias("inference_date"), F.inline(models))
 
 
+def feeds(spark, sf_dir) -> dict[str, tuple[str, list[str]]]:
+    """The four raw CSV feeds, written once per session: path and columns."""
+    key = (spark.sparkContext.applicationId, sf_dir, "feeds")
+    if key not in _stored:
+        found = {}
+        for name, build in (("loan_daily", loans), ("attributes", attributes), ("financials", financials), ("clickstream", clickstream)):
+            rows, path = build(spark, sf_dir), new_path(spark, f"feed-{name}")
+            write_feed(rows, path)
+            found[name] = (path, rows.columns)
+        _stored[key] = found
+    return _stored[key]
+
+
 def stored_predictions(spark, sf_dir) -> DataFrame:
     """The predictions as the partitioned table that scoring writes."""
     def build():
