@@ -1,16 +1,20 @@
 """Near duplicates by n-gram Jaccard: the global n-gram order is cut into fragments, overlaps counted in each and summed.
 
-The order is by how frequent n-grams are in the whole corpus, rare ones first. Two sets as like as asked share at least
-``shared(n)`` n-grams among the first ``prefix(n)`` of each, so candidates come from prefixes alone.
+The order is by how frequent n-grams are in the whole corpus, rare ones first. Two alike sets share at least
+``alpha`` = 3/7 of their sizes' sum, so from the place of their k-th common n-gram to the end of either set there are
+``alpha - k + 1`` or more, and their first ``shared`` common n-grams lie among the first ``prefix(n)`` of each.
+Candidates are pairs with so many n-grams placed so.
 
 1. ``_sets``: size and digest of each document's set, and how often n-grams occur (a count sketch of fixed size).
    Documents with equal sets are one node from here on.
-2. ``_prefixes`` and ``_lists``: prefixes meet by n-gram. In each list every node is paired with two leaders at most.
-   Per node its best-supported leaders are compared exactly, and what links is merged into components.
-3. ``_apart``: the lists again, now with components: partial counts, summed per pair, of all pairs of different
-   components. Pairs that share too few prefix n-grams cannot be alike; the others are compared exactly.
-
-So a pair is left out only if its prefixes rule it out or if its documents hang together by other links. A group of
+2. ``_prefixes`` and ``_lists``: prefixes meet by n-gram. In each list every node is paired with two leaders at most: the
+   one with the fewest rarer n-grams, which is nearest to what the list has in common, and the least node.
+   ``_gather`` brings a node's n-grams and leaders together; nodes with too few shared n-grams drop out. The
+   best-supported leaders are compared exactly, and what links is merged into components.
+3. ``_apart``: the lists again, now with components: all candidate pairs of different components are compared exactly.
+
+``_linked`` compares: overlaps are counted in each fragment of the order and summed per pair. So a pair is left out only
+if its prefixes rule it out or if its documents hang together by other links. A group of
 near copies is linked through leaders, not by all its pairs.
 """
 
@@ -36,15 +40,21 @@ HELD = 1_500_000
 
 
 def shared(n):
-    """N-grams that the prefixes of two alike sets share at least, n the smaller size."""
-    return 1 + n // 20
+    """Common n-grams that are looked for, n the smaller size."""
+    return 1 + n // 32
 
 
 def prefix(n):
-    """Length of the prefix that shows this."""
+    """So many n-grams of a set of n can be among its first common ones with any other."""
     return n - (LIKENESS * n + 99) // 100 + shared(n)
 
 
+def possible(size_i, place_i, size_j, place_j):
+    """Whether a common n-gram at these places (from 0) can be among the first ones of two alike sets."""
+    alpha = (LIKENESS * (size_i + size_j) + 99 + LIKENESS) // (100 + LIKENESS)
+    return np.minimum(size_i - place_i, size_j - place_j) + shared(np.minimum(size_i, size_j)) - 1 >= alpha
+
+
 def sets_of(texts: pa.Array) -> list[np.ndarray]:
     """The distinct n-gram hashes of each text, ascending; all words as one n-gram where there are fewer."""
     data, bounds = stream(texts)
@@ -124,11 +134,11 @@ def ordered(own: np.ndarray, ranks: np.ndarray) -> np.ndarray:
 _PACKED = "bucket int, packed binary"
 
 
-def _pack(buckets: int, nodes, sizes, labels, row, token):
-    """Entries dealt by n-gram: per bucket the nodes with size and label, and five bytes per entry."""
+def _pack(buckets: int, nodes, sizes, labels, row, token, place):
+    """Entries dealt by n-gram: per bucket the nodes with size and label, and five bytes and the place per entry."""
     to = (token % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(to, kind="stable")
-    to, row, token = to[order], row[order], token[order]
+    to, row, token, place = to[order], row[order], token[order], place[order]
     starts = np.flatnonzero(runs(to)) if len(to) else np.zeros(0, np.int64)
     blobs = []
     for lo, hi in zip(starts, np.append(starts[1:], len(to))):
@@ -136,13 +146,13 @@ def _pack(buckets: int, nodes, sizes, labels, row, token):
         own = row[lo:hi][docs]
         blobs.append(b"".join([np.array([len(docs), hi - lo], "<u4").tobytes(), nodes[own].astype("<i8").tobytes(), sizes[own].astype("<i8").tobytes(),
                                labels[own].astype("<i8").tobytes(), np.diff(np.append(docs, hi - lo)).astype("<u4").tobytes(),
-                               _short(token[lo:hi] // np.uint64(buckets))]))
+                               place[lo:hi].astype("<u4").tobytes(), _short(token[lo:hi] // np.uint64(buckets))]))
     return pa.RecordBatch.from_arrays([pa.array(to[starts].astype(np.int32)), pa.array(blobs, pa.binary())], names=["bucket", "packed"])
 
 
 def _unpack(batches):
-    """(token, node, size, label) of a partition's entries, sorted by token, size and node."""
-    parts = [[], [], [], []]
+    """(token, node, size, label, place) of a partition's entries, sorted by token, size and node."""
+    parts = [[], [], [], [], []]
     for batch in batches:
         for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("packed").to_pylist()):
             docs, n = np.frombuffer(blob, "<u4", 2).tolist()
@@ -150,25 +160,26 @@ def _unpack(batches):
             for kind in ("<i8", "<i8", "<i8", "<u4"):
                 table.append(np.frombuffer(blob, kind, docs, o))
                 o += table[-1].nbytes
-            parts[0].append(_long(blob[o:]) | np.uint64(bucket << 40))
-            for out, column in zip(parts[1:], table):
+            parts[4].append(np.frombuffer(blob, "<u4", n, o).astype(np.int64))
+            parts[0].append(_long(blob[o + 4 * n:]) | np.uint64(bucket << 40))
+            for out, column in zip(parts[1:4], table):
                 out.append(np.repeat(column, table[3]))
     if not parts[0]:
         return None
-    token, node, size, label = map(np.concatenate, parts)
-    order = np.lexsort((node, size, token))
-    token, node, size, label = token[order], node[order], size[order], label[order]
-    one = runs(token, node)  # a node comes once per task that has a copy
-    return token[one], node[one], size[one], label[one]
+    columns = list(map(np.concatenate, parts))
+    order = np.lexsort((columns[1], columns[2], columns[0]))
+    columns = [c[order] for c in columns]
+    one = runs(columns[0], columns[1])  # a node comes once per task that has a copy
+    return [c[one] for c in columns]
 
 
 def _prefixes(ranks, buckets: int):
     def run(batches):
-        nodes, sizes, row, token, held, seen = [], [], [], [], 0, set()
+        nodes, sizes, row, token, place, held, seen = [], [], [], [], [], 0, set()
 
         def send():
             own = [np.array(nodes, np.int64), np.array(sizes, np.int64)]
-            return _pack(buckets, *own, own[0], np.concatenate(row), mixed(np.concatenate(token)) >> np.uint64(8))
+            return _pack(buckets, *own, own[0], np.concatenate(row), mixed(np.concatenate(token)) >> np.uint64(8), np.concatenate(place))
         for block in blocks(batches):
             for own in sets_of(block.column("text").combine_chunks()):
                 if not len(own):
@@ -180,12 +191,13 @@ def _prefixes(ranks, buckets: int):
                 first = ordered(own, ranks.value)[:prefix(len(own))]
                 row.append(np.full(len(first), len(nodes)))
                 token.append(first)
+                place.append(np.arange(len(first)))
                 nodes.append(node)
                 sizes.append(len(own))
                 held += len(first)
                 if held >= HELD:
                     yield send()
-                    nodes, sizes, row, token, held, seen = [], [], [], [], 0, set()
+                    nodes, sizes, row, token, place, held, seen = [], [], [], [], [], 0, set()
         if held:
             yield send()
     return run
@@ -202,43 +214,100 @@ def _counted(a, b, na, nb) -> tuple[np.ndarray, ...]:
     return a[at], b[at], na[at], nb[at], np.diff(np.append(at, len(a)))
 
 
-def _lists(batches):
-    """Lists of at least two nodes: per node its n-grams (kind 0), and pairs of leader and member with the
-    number of lists in this fragment (kinds 1 and 2, one for each way to choose leaders)."""
-    names = ["kind", "a", "b", "na", "nb", "n", "tokens"]
-    none = pa.list_(pa.int64())
-    entries = _unpack(batches)
-    if entries is None:
-        return
-    token, node, size, _ = entries
-    fresh = runs(token)
-    group = np.cumsum(fresh) - 1
-    several = (np.bincount(group) > 1)[group]
-    token, node, size, group = token[several], node[several], size[several], group[several]
-    if not len(token):
+def _lists(parts: int):
+    """Lists of at least two nodes to packed entries, and to pairs of leader and member with the number of lists in this
+    fragment, once for each way to choose leaders; dealt by node and by member."""
+    def run(batches):
+        entries = _unpack(batches)
+        if entries is None:
+            return
+        token, node, size, _, place = entries
+        group = np.cumsum(runs(token)) - 1
+        key = (group << 32) | size
+        low, many = _reach(key, group, size, place)
+        at = np.arange(len(key))
+        several = many - ((low <= at) & (at < low + many)) > 0  # some other entry than itself
+        token, node, size, group, place = (x[several] for x in (token, node, size, group, place))
+        if not len(token):
+            return
+        fresh = runs(group)
+        starts, nth = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+        pairs = []
+        for kind, by in ((1, (node, place, group)), (2, (node, group))):
+            leader = np.lexsort(by)[starts][nth]
+            at = np.flatnonzero((node[leader] != node) & possible(size[leader], place[leader], size, place))
+            found = _counted(node[leader[at]], node[at], size[leader[at]], size[at])
+            pairs.append((np.full(len(found[0]), kind), *found))
+        pairs = [np.concatenate(x) for x in zip(*pairs)]
+        entries = (node, size, token.astype(np.int64), place)
+        to = [(mixed(x.astype(np.uint64)) % np.uint64(parts)).astype(np.int64) for x in (node, pairs[2])]
+        orders = [np.argsort(x, kind="stable") for x in to]
+        cuts = [np.searchsorted(x[o], np.arange(parts + 1)) for x, o in zip(to, orders)]
+        buckets, blobs = [], []
+        for k in range(parts):
+            own = [o[c[k]:c[k + 1]] for o, c in zip(orders, cuts)]
+            if len(own[0]):
+                buckets.append(k)
+                blobs.append(b"".join([np.array([len(x) for x in own], "<i8").tobytes(),
+                                       *[x[o].astype("<i8").tobytes() for columns, o in zip((entries, pairs), own) for x in columns]]))
+        yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "packed"])
+    return run
+
+
+_GATHERED = "kind int, a long, b long, na long, nb long, tokens array<long>, places array<long>"
+
+
+def _gather(batches):
+    """Kind 0: a node, its size, its n-grams in lists and their places. Kind 1: a leader worth comparing and its member."""
+    names = [c.split()[0] for c in _GATHERED.split(", ")]
+    parts: list[list] = [[] for _ in range(10)]
+    for batch in batches:
+        for blob in batch.column("packed").to_pylist():
+            columns = np.frombuffer(blob, "<i8")
+            n, m = columns[:2]
+            cuts = np.cumsum([2, n, n, n, n, m, m, m, m, m, m])
+            for out, lo, hi in zip(parts, cuts[:-1], cuts[1:]):
+                out.append(columns[lo:hi])
+    if not parts[0]:
         return
+    node, size, token, place, kind, a, b, na, nb, count = map(np.concatenate, parts)
     order = np.argsort(node, kind="stable")
     begins = np.flatnonzero(runs(node[order]))
-    n = len(begins)
-    lists = pa.ListArray.from_arrays(pa.array(np.append(begins, len(order)), pa.int32()), pa.array(token[order].astype(np.int64)))
-    own = order[begins]
-    yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), pa.array(node[own]), pa.nulls(n, pa.int64()), pa.array(size[own]),
-                                      *[pa.nulls(n, pa.int64())] * 2, lists], names=names)
-    key = (group << 32) | size
-    smallest = np.searchsorted(key, (group << 32) | (LIKENESS * size + 99) // 100)
-    starts = np.flatnonzero(runs(group))
-    by_node = np.lexsort((node, group))[starts]  # the least node of each list
-    least = by_node[np.cumsum(runs(group)) - 1]
-    for kind, leader in ((1, smallest), (2, least)):
-        small, large = np.minimum(size[leader], size), np.maximum(size[leader], size)
-        at = np.flatnonzero((node[leader] != node) & (100 * small >= LIKENESS * large))
-        a, b, na, nb, count = _counted(node[leader[at]], node[at], size[leader[at]], size[at])
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), *map(pa.array, (a, b, na, nb, count)),
-                                          pa.nulls(len(a), none)], names=names)
+    number = np.diff(np.append(begins, len(order)))
+    # a node can only be alike to one that shares as many n-grams as the smallest fitting partner asks for
+    enough = number >= shared((LIKENESS * size[order[begins]] + 99) // 100)
+    order = order[np.repeat(enough, number)]
+    ends = np.concatenate([[0], np.cumsum(number[enough])])
+    own, n = order[ends[:-1]], int(enough.sum())
+    lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x[order])) for x in (token, place)]
+    none = pa.nulls(n, pa.int64())
+    yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), pa.array(node[own]), none, pa.array(size[own]), none, *lists], names=names)
+    order = np.lexsort((b, a, kind))
+    begins = np.flatnonzero(runs(kind[order], a[order], b[order])) if len(order) else np.zeros(0, np.int64)
+    total = np.add.reduceat(count[order], begins) if len(begins) else begins
+    at = order[begins]
+    # leaders only save comparisons, so those with little support need none now
+    worth = (2 * total >= shared(np.minimum(na[at], nb[at]))) & np.isin(b[at], node[own])
+    at, total = at[worth], total[worth]
+    best = np.lexsort((a[at], total, b[at], kind[at]))
+    last = np.append(np.flatnonzero(runs(kind[at][best], b[at][best]))[1:] - 1, len(best) - 1) if len(best) else best
+    at = at[best][last]
+    n = len(at)
+    yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int32)), *[pa.array(x[at]) for x in (a, b, na, nb)],
+                                      *[pa.nulls(n, pa.list_(pa.int64()))] * 2], names=names)
+
+
+def _reach(key, group, size, place):
+    """The first entry of the list that is not too small for each entry, and how many are of fitting size from there (itself
+    perhaps among them). An entry's place bounds its partner's size, see ``possible``."""
+    low = np.searchsorted(key, (group << 32) | (LIKENESS * size + 99) // 100)
+    most = np.minimum(100 * size // LIKENESS, ((100 + LIKENESS) * (size - place + shared(size) - 1)) // LIKENESS - size)
+    high = np.searchsorted(key, (group << 32) | np.maximum(most, 0), "right")
+    return low, high - low
 
 
 def _dealt(buckets: int):
-    """(node, n, label, tokens) to packed entries."""
+    """(node, n, label, tokens, places) to packed entries."""
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
@@ -248,16 +317,17 @@ def _dealt(buckets: int):
             token = lists.flatten().to_numpy().astype(np.uint64)
             # the bucket and the 40 bits that _unpack put together, taken apart again
             token = (token & np.uint64((1 << 40) - 1)) * np.uint64(buckets) + (token >> np.uint64(40))
-            yield _pack(buckets, *(batch.column(c).to_numpy() for c in ("node", "n", "label")), row, token)
+            yield _pack(buckets, *(batch.column(c).to_numpy() for c in ("node", "n", "label")), row, token,
+                        batch.column("places").flatten().to_numpy())
     return run
 
 
 def _apart(batches):
-    """Partial counts of pairs of different components, in lists that hold several."""
+    """The candidate pairs of different components, in lists that hold several."""
     entries = _unpack(batches)
     if entries is None:
         return
-    token, node, size, label = entries
+    token, node, size, label, place = entries
     group = np.cumsum(runs(token)) - 1
     # per list the label of most entries: pairs are drawn from the other entries only
     order = np.lexsort((label, group))
@@ -268,19 +338,17 @@ def _apart(batches):
     last = np.append(np.flatnonzero(runs(g[at][best]))[1:] - 1, len(best) - 1)
     most = l_[at][best][last]  # ascending by list
     minor = label != most[group]
-    key = (group << 32) | size
-    low = np.searchsorted(key, (group << 32) | (LIKENESS * size + 99) // 100)
-    high = np.searchsorted(key, (group << 32) | (100 * size // LIKENESS), "right")
-    rows = np.flatnonzero(minor)
-    reach = np.cumsum(high[rows] - low[rows])
+    low, many = _reach((group << 32) | size, group, size, place)
+    rows = np.flatnonzero(minor & (many > 0))
+    reach = np.cumsum(many[rows])
     lo = 0
     while lo < len(rows):
         hi = max(lo + 1, int(np.searchsorted(reach, (reach[lo - 1] if lo else 0) + HELD, "right")))
         part = rows[lo:hi]
-        width = high[part] - low[part]
+        width = many[part]
         i = np.repeat(part, width)
         j = np.repeat(low[part] - (np.cumsum(width) - width), width) + np.arange(width.sum())
-        ok = (label[i] != label[j]) & (~minor[j] | (i < j))
+        ok = (label[i] != label[j]) & possible(size[i], place[i], size[j], place[j])
         i, j = i[ok], j[ok]
         swap = node[i] > node[j]
         i, j = np.where(swap, j, i), np.where(swap, i, j)
@@ -337,24 +405,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         raise ValueError("two different n-gram sets share a 64-bit digest")
     ranks = spark.sparkContext.broadcast(_ranks(made))
     lists = written(texts.mapInArrow(_prefixes(ranks, buckets), _PACKED).repartition(buckets, "bucket")
-                    .mapInArrow(_lists, "kind int, " + _PAIRS + ", tokens array<long>"), "ngram-lists")
-    # a node can only be alike to one that shares as many n-grams as the smallest eligible partner asks for
-    listed = (lists.where("kind = 0").groupBy(F.col("a").alias("node"))
-              .agg(F.max("na").alias("n"), F.flatten(F.collect_list("tokens")).alias("tokens"))
-              .where(f"size(tokens) >= 1 + (({LIKENESS} * n + 99) div 100) div 20"))
-    listed = written(listed, "ngram-listed")
+                    .mapInArrow(_lists(buckets), _PACKED).repartition(buckets, "bucket").mapInArrow(_gather, _GATHERED), "ngram-lists")
+    listed = lists.where("kind = 0").select(F.col("a").alias("node"), F.col("na").alias("n"), "tokens", "places")
     pick_text = listed.select("node").join(nodes.select("node", "first.did", "first.text_key"), "node")
     sets = written(texts.join(pick_text, ["did", "text_key"]).dropDuplicates(["did", "text_key"]).select("node", "text")
                    .mapInArrow(_fragments(ranks), "node long, fragment int, tokens array<long>"), "ngram-fragments")
-    support = lists.where("kind > 0").groupBy("kind", "a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb"), F.sum("n").alias("n"))
-    stars = (support.groupBy("kind", "b").agg(F.max(F.struct("n", "a", "na", "nb")).alias("best"))
-             .select("best.a", "b", "best.na", "best.nb").distinct())
+    stars = lists.where("kind = 1").select("a", "b", "na", "nb").distinct()
     links = written(_linked(stars, sets), "ngram-links")
     labels = components(links)
-    labelled = listed.join(labels, "node", "left").select("node", "n", F.coalesce("label", "node").alias("label"), "tokens")
+    labelled = listed.join(labels, "node", "left").select("node", "n", F.coalesce("label", "node").alias("label"), "tokens", "places")
     open_ = (labelled.mapInArrow(_dealt(buckets), _PACKED).repartition(buckets, "bucket").mapInArrow(_apart, _PAIRS)
              .groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb"), F.sum("n").alias("n"))
-             .where("n >= 1 + least(na, nb) div 20"))
+             .where("n >= 1 + least(na, nb) div 32"))
     more = written(_linked(written(open_, "ngram-open"), sets), "ngram-more-links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
