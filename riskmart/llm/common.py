@@ -18,7 +18,7 @@ from riskmart.session import tune
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 #: Rows that go to Python at once; a batch holds whole texts.
-BATCH_ROWS = 2000
+BATCH_ROWS = 200
 
 
 _shipped: set[str] = set()
@@ -172,6 +172,7 @@ def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, codes: np.
 
 def blocks(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.Table]:
     """Neighbouring batches cut anew into tables of about ``size`` bytes of text (column ``text``), whole rows each."""
+    pa.set_memory_pool(pa.system_memory_pool())  # gives back what a worker no longer needs
     for batch in batches:
         if batch.num_rows == 0:
             continue

@@ -30,7 +30,9 @@ from riskmart.session import written
 
 HOT = 64
 #: Anchors, and bytes of contexts, that a task holds before it sends them on.
-HELD_ANCHORS, HELD_CONTEXTS = 1_500_000, 6 << 20
+HELD_ANCHORS, HELD_CONTEXTS = 150_000, 1 << 20
+#: Text that is looked at at once, and buckets per shuffle partition: what a task holds at a time.
+BLOCK, FINER, SETTLED = 1 << 19, 2, 1 << 12
 _SPAN, _FULL, _EDGE, _PACKED = 1, 2, 3, 4
 
 
@@ -43,7 +45,7 @@ class Windows:
     #: Raw tokens to 64-bit codes.
     codes: Callable[[np.ndarray], np.ndarray]
     kind: str
-    #: (raw, begin, left, end, order) of contexts to (context, offset left of the anchor) of repeated windows.
+    #: (raw, begin, left, end, id, gram hash) of contexts to (context, offset left of the anchor) of repeated windows.
     settle: Callable[..., tuple[np.ndarray, np.ndarray]]
 
     @property
@@ -199,7 +201,7 @@ def _find(w: Windows, buckets: int):
 
     def run(batches):
         parts, held = [], 0
-        for block in blocks(batches):
+        for block in blocks(batches, BLOCK):
             raw, first = w.tokens(block.column("text"))
             p, g, c = anchors(w, raw, first)
             row = np.searchsorted(first, p, "right") - 1
@@ -217,18 +219,29 @@ def _find(w: Windows, buckets: int):
     return run
 
 
+def by_bucket(batches, work):
+    """Rows that come sorted by bucket: the packed ones of each bucket go to ``work`` together, the others pass through."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    packed, at = [], None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        kind = table.column("kind").to_numpy()
+        if (kind != _PACKED).any():
+            yield from table.filter(pa.array(kind != _PACKED)).to_batches()
+        rows = table.filter(pa.array(kind == _PACKED))
+        for bucket, blob in zip(rows.column("bucket").to_pylist(), rows.column("packed")):
+            if bucket != at and packed:
+                yield from work(packed)
+                packed = []
+            at = bucket
+            packed.append(blob.as_py())
+    if packed:
+        yield from work(packed)
+
+
 def _meet(w: Windows, buckets: int):
     """Step 2: anchors of a bucket to settled anchors and edges; what is settled passes through."""
-    def run(batches):
-        packed = []
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            kind = table.column("kind").to_numpy()
-            packed += table.column("packed").filter(pa.array(kind == _PACKED)).to_pylist()
-            if (kind != _PACKED).any():
-                yield from table.filter(pa.array(kind != _PACKED)).to_batches()
-        if not packed:
-            return
+    def met(packed):
         dids, keys, counts, at, g, c = [], [], [], [], [], []
         for blob in packed:
             docs, n = np.frombuffer(blob, "<u4", 2)
@@ -260,7 +273,7 @@ def _meet(w: Windows, buckets: int):
         edge = order[~done & ((contexts > 1) & (least < most))[group]]
         if len(edge):
             yield _per_row(_EDGE, dids, keys, row[edge], at[edge], g[edge].view(np.int64), buckets)
-    return run
+    return lambda batches: by_bucket(batches, met)
 
 
 def _context_bytes(w: Windows, raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -270,41 +283,58 @@ def _context_bytes(w: Windows, raw: np.ndarray, begin: np.ndarray, end: np.ndarr
 
 
 def _spans_of(w: Windows, contexts: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(begin, end, context) of repeated windows, and which contexts have windows that are still open."""
+    """(begin, end, context) of repeated windows, and which contexts have windows that are still open.
+
+    Grams are settled some thousands of contexts at a time, those of one gram together."""
     raw, left, size = contexts["raw"], contexts["left"], contexts["size"]
     begin = np.cumsum(size) - size
-    which, offset = w.settle(raw, begin, left, begin + size, contexts["did"])
-    start = contexts["at"][which] - offset
+    part = (contexts["g"] % np.uint64(999_983) % np.uint64(len(left) // SETTLED + 1)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    cuts = np.append(np.flatnonzero(runs(part[order])), len(order)) if len(order) else np.zeros(1, np.int64)
+    spans, closed = [(np.zeros(0, np.int64),) * 3], np.zeros(len(left), np.int64)
+    for lo, hi in zip(cuts[:-1], cuts[1:]):
+        own = order[lo:hi]
+        own_begin = np.cumsum(size[own]) - size[own]
+        which, offset = w.settle(_context_bytes(w, raw, begin[own], begin[own] + size[own]), own_begin, left[own],
+                                 own_begin + size[own], contexts["did"][own], contexts["g"][own])
+        closed[own] = np.bincount(which, minlength=len(own))
+        start = contexts["at"][own[which]] - offset
+        spans.append(merged(start, start + w.length, own[which]))
     windows = np.minimum(left, w.before) - np.maximum(0, w.length - (size - left)) + 1
-    return start, start + w.length, which, np.bincount(which, minlength=len(left)) < windows
+    return (*map(np.concatenate, zip(*spans)), closed < windows)
 
 
-_FIELDS = (("did", "<i8"), ("key", "<i8"), ("at", "<i8"), ("left", "<u2"), ("size", "<u2"))
+_FIELDS = (("did", "<i8"), ("key", "<i8"), ("g", "<u8"), ("at", "<u4"), ("left", "u1"), ("size", "u1"))
 
 
 def _cut(w: Windows, buckets: int):
-    """Step 3a: texts with their edges to contexts, those that the task itself settles left out."""
+    """Step 3a: texts with their edges to contexts; of grams with many contexts here, the task settles what it can."""
     def send(parts):
         contexts = {n: np.concatenate([p[n] for p in parts]) for n in parts[0]}
-        start, end, which, open_ = _spans_of(w, contexts)
-        if len(which):
-            own = np.arange(len(open_))
-            yield _per_row(_SPAN, contexts["did"], contexts["key"], *(lambda b, e, r: (r, b, e))(*merged(start, end, own[which])), buckets)
+        begin = np.cumsum(contexts["size"]) - contexts["size"]
+        _, gram, number = np.unique(contexts["g"], return_inverse=True, return_counts=True)
+        many = np.flatnonzero(number[gram] > HOT)
+        open_ = np.ones(len(gram), bool)
+        if len(many):
+            own = {n: contexts[n][many] for n in contexts if n != "raw"}
+            own["raw"] = _context_bytes(w, contexts["raw"], begin[many], begin[many] + own["size"])
+            start, end, which, open_[many] = _spans_of(w, own)
+            if len(which):
+                yield _per_row(_SPAN, own["did"], own["key"], which, start, end, buckets)
         at = np.flatnonzero(open_)
         to = _bucket(contexts["g"][at], buckets)
         at, to = at[o := np.argsort(to, kind="stable")], to[o]
         starts = np.flatnonzero(runs(to)) if len(to) else np.zeros(0, np.int64)
-        begin = np.cumsum(contexts["size"]) - contexts["size"]
         blobs = []
         for lo, hi in zip(starts, np.append(starts[1:], len(to))):
             part = at[lo:hi]
             raw = _context_bytes(w, contexts["raw"], begin[part], begin[part] + contexts["size"][part])
-            blobs.append(b"".join([np.array([len(part)], "<u4").tobytes(), *[contexts[n][part].astype(k).tobytes() for n, k in _FIELDS], raw.tobytes()]))
+            blobs.append(b"".join([np.array([len(part)], "<u4").tobytes(), *[contexts[n][part].astype(k).tobytes() for n, k in _FIELDS], raw.astype(w.kind).tobytes()]))
         yield _packed(to[starts], blobs)
 
     def run(batches):
         parts, held = [], 0
-        for block in blocks(batches):
+        for block in blocks(batches, BLOCK):
             raw, first = w.tokens(block.column("text"))
             lists = block.column("a").combine_chunks()
             at = lists.flatten().to_numpy()
@@ -326,26 +356,20 @@ def _cut(w: Windows, buckets: int):
 
 def _settle(w: Windows, buckets: int):
     """Step 3b: contexts of a bucket to repeated spans; what is settled passes through."""
-    def run(batches):
+    def settled(packed):
         parts = []
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            kind = table.column("kind").to_numpy()
-            if (kind != _PACKED).any():
-                yield from table.filter(pa.array(kind != _PACKED)).to_batches()
-            for blob in table.column("packed").filter(pa.array(kind == _PACKED)).to_pylist():
-                n, o, part = int(np.frombuffer(blob, "<u4", 1)[0]), 4, {}
-                for name, dtype in _FIELDS:
-                    part[name] = np.frombuffer(blob, dtype, n, o).astype(np.int64)
-                    o += n * np.dtype(dtype).itemsize
-                part["raw"] = np.frombuffer(blob, w.kind, offset=o)
-                parts.append(part)
-        if parts:
-            contexts = {n: np.concatenate([p[n] for p in parts]) for n in parts[0]}
-            start, end, which, _ = _spans_of(w, contexts)
-            if len(which):
-                yield _per_row(_SPAN, contexts["did"], contexts["key"], *(lambda b, e, r: (r, b, e))(*merged(start, end, which)), buckets)
-    return run
+        for blob in packed:
+            n, o, part = int(np.frombuffer(blob, "<u4", 1)[0]), 4, {}
+            for name, dtype in _FIELDS:
+                part[name] = np.frombuffer(blob, dtype, n, o).astype(np.uint64 if name == "g" else np.int64)
+                o += n * np.dtype(dtype).itemsize
+            part["raw"] = np.frombuffer(blob, w.kind, offset=o)
+            parts.append(part)
+        contexts = {n: np.concatenate([p[n] for p in parts]) for n in parts[0]}
+        start, end, which, _ = _spans_of(w, contexts)
+        if len(which):
+            yield _per_row(_SPAN, contexts["did"], contexts["key"], which, start, end, buckets)
+    return lambda batches: by_bucket(batches, settled)
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -363,15 +387,19 @@ def repeated(rows: DataFrame, w: Windows) -> DataFrame:
 
     ``begins`` and ``ends`` are token spans, ``fulls`` anchors all of whose windows repeat. Windows of one id, or of
     several rows with one id, never repeat one another."""
-    buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = FINER * parts
     rows = rows.select("did", "text_key", "text")
+
+    def gathered(df):
+        return df.repartition(parts, "bucket").sortWithinPartitions("bucket")
     found = rows.mapInArrow(_find(w, buckets), SCHEMA)
-    met = written(found.repartition(buckets, "bucket").mapInArrow(_meet(w, buckets), SCHEMA), "anchors")
+    met = written(gathered(found).mapInArrow(_meet(w, buckets), SCHEMA), "anchors")
     edges = (met.where(f"kind = {_EDGE}").groupBy("did", "text_key")
              .agg(F.flatten(F.collect_list("a")).alias("a"), F.flatten(F.collect_list("b")).alias("b")))
     cut = (rows.join(edges, ["did", "text_key"]).select("did", "text_key", "text", "a", "b")
            .mapInArrow(_cut(w, buckets), SCHEMA))
-    settled = written(cut.repartition(buckets, "bucket").mapInArrow(_settle(w, buckets), SCHEMA), "edges")
+    settled = written(gathered(cut).mapInArrow(_settle(w, buckets), SCHEMA), "edges")
     every = met.where(f"kind <> {_EDGE}").unionByName(settled)
     lists = [F.flatten(F.collect_list(F.expr(f"if(kind = {kind}, {c}, array())"))).alias(name)
              for name, kind, c in (("begins", _SPAN, "a"), ("ends", _SPAN, "b"), ("fulls", _FULL, "a"))]
@@ -391,7 +419,7 @@ def cut_texts(docs: DataFrame, w: Windows, make, extra: dict[str, str], id_col:
                         *[f"x{i} {kind}" for i, kind in enumerate(extra.values())]])
 
     def run(batches):
-        for block in blocks(batches):
+        for block in blocks(batches, BLOCK // 2):
             texts = block.column("text").combine_chunks()
             raw, first = w.tokens(texts)
             made = make(texts, raw, first, covered(w, first, *(block.column(c) for c in ("begins", "ends", "fulls"))))

@@ -1,3 +1,66 @@
-"""DuckDB SQL for the registered queries that SQL can express."""
+"""DuckDB SQL for the registered queries that SQL can express: the contracts, window by window and pair by pair."""
 
 ORACLES: dict[str, str] = {}
+
+_LOWERED = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+_SPACED = r"'[^\x20\x09-\x0D]+'"
+
+# two hex digits stand for a byte
+ORACLES["op5_suffix_dedup"] = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+win as (select doc_id, i, substr(h, 2 * i + 1, 100) as k
+        from (select doc_id, h, unnest(range(0, length(h) // 2 - 49)) as i from d where length(h) >= 100) w),
+least_id as (select k, min(doc_id) as m from win group by k),
+hit as (select win.doc_id, i from win join least_id using (k) where doc_id > m),
+runs as (select doc_id, i, sum(fresh) over (partition by doc_id order by i) as run
+         from (select doc_id, i, case when i - lag(i) over (partition by doc_id order by i) <= 50 then 0 else 1 end as fresh from hit) s),
+spans as (select doc_id, min(i) as a, max(i) + 50 as b from runs group by doc_id, run),
+gaps as (select doc_id, lag(b, 1, 0) over (partition by doc_id order by a) as a, a as b from spans
+         union all select doc_id, max(b), null from spans group by doc_id),
+kept as (select g.doc_id, string_agg(substr(d.h, 2 * a + 1, 2 * (coalesce(b, length(d.h)) - a)), '' order by a) as h
+         from gaps g join d on g.doc_id = d.doc_id group by g.doc_id),
+lost as (select doc_id, sum(b - a) as n_removed, count(*) as n_spans from spans group by doc_id)
+select d.doc_id, length(d.h) // 2 as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(n_spans, 0) as n_spans,
+  sha256(unhex(coalesce(kept.h, d.h))) as kept_sha256
+from d left join kept on d.doc_id = kept.doc_id left join lost on d.doc_id = lost.doc_id"""
+
+_WORDS = r"'[0-9a-z\x{80}-\x{10FFFF}]+'"
+ORACLES["op7_decontamination"] = f"""
+with d as (select doc_id, regexp_extract_all({_LOWERED}, {_WORDS}) as w from documents),
+b as (select item_id, regexp_extract_all({_LOWERED}, {_WORDS}) as w from benchmark),
+item_win as (select distinct cast(item_id as varchar) as item, n, array_to_string(w[i:i + n - 1], ' ') as k
+             from (select item_id, w, least(13, len(w)) as n, unnest(range(1, len(w) - least(13, len(w)) + 2)) as i from b where len(w) > 0) x),
+sizes as (select distinct n from item_win),
+win as (select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as k
+        from (select doc_id, n, w, unnest(range(1, len(w) - n + 2)) as i from d join sizes on len(w) >= n) x),
+found as (select doc_id, n, i, item from win join item_win using (n, k)),
+hit as (select doc_id, count(distinct j) as n_hit
+        from (select doc_id, unnest(range(i, i + n)) as j from (select distinct doc_id, n, i from found) f) x group by doc_id),
+items as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as list
+          from (select distinct doc_id, item from found) f group by doc_id)
+select d.doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(list, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from d left join hit on d.doc_id = hit.doc_id left join items on d.doc_id = items.doc_id"""
+
+ORACLES["op8_jaccard_join"] = f"""
+with recursive d as (select doc_id, regexp_extract_all({_LOWERED}, {_SPACED}) as w from documents),
+sets as (select distinct doc_id, array_to_string(w[i:i + 4], ' ') as s
+         from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from d where len(w) > 0) x),
+size as (select doc_id, count(*) as n from sets group by doc_id),
+shared as (select x.doc_id as a, y.doc_id as b, count(*) as c from sets x join sets y on x.s = y.s and x.doc_id <> y.doc_id group by all),
+links as (select a, b from shared join size p on a = p.doc_id join size q on b = q.doc_id where 100 * c >= 75 * (p.n + q.n - c)),
+reach as (select doc_id as a, doc_id as b from d union select r.a, l.b from reach r join links l on r.b = l.a)
+select d.doc_id, coalesce(n, 0) as n_shingles, component_id
+from d left join size on d.doc_id = size.doc_id join (select a, min(b) as component_id from reach group by a) c on d.doc_id = c.a"""
+
+ORACLES["op9_suffix_tree"] = f"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), {_SPACED}) as w from documents),
+win as (select doc_id, i, array_to_string(w[i:i + 12], ' ') as k
+        from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from d where len(w) >= 13) x),
+least_id as (select k, min(doc_id) as m from win group by k),
+gone as (select distinct doc_id, unnest(range(i, i + 13)) as j from (select win.doc_id, i from win join least_id using (k) where doc_id > m) h),
+words as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as j from d),
+kept as (select words.doc_id, count(gone.j) as n_removed, string_agg(word, ' ' order by words.j) filter (where gone.j is null) as k
+         from words left join gone on words.doc_id = gone.doc_id and words.j = gone.j group by words.doc_id)
+select d.doc_id, len(w) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(k, '')) as kept_sha256
+from d left join kept on d.doc_id = kept.doc_id"""

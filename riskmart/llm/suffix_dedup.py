@@ -49,38 +49,47 @@ class Suffixes:
         b = self.raw[np.minimum(j + agreed, last)].astype(np.int64)
         return np.where(whole, size_i - size_j, a - b)
 
-    def sort(self, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Order of the suffixes: mergesort from the bottom, in which every suffix finds its rank in the other run of
-        its pair by binary search."""
-        n, order, width = len(start), np.arange(len(start)), 1
-        every = np.arange(n)
-        while width < n:
-            base = every // (2 * width) * (2 * width)
-            mid, end = np.minimum(base + width, n), np.minimum(base + 2 * width, n)
+    def sort(self, start: np.ndarray, size: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """Order of the suffixes within each group: mergesort from the bottom, in which every suffix finds its rank in
+        the other run of its pair by binary search. Groups done drop out."""
+        order, width = np.argsort(group, kind="stable"), 1
+        fresh = runs(group[order]) if len(order) else np.zeros(0, bool)
+        first = np.flatnonzero(fresh)
+        total = np.diff(np.append(first, len(order)))
+        first, total = np.repeat(first, total), np.repeat(total, total)
+        every = np.flatnonzero(total > 1)
+        while len(every):
+            base = first[every] + (every - first[every]) // (2 * width) * (2 * width)
+            stop = first[every] + total[every]
+            mid, end = np.minimum(base + width, stop), np.minimum(base + 2 * width, stop)
             second = every >= mid
             low, high = np.where(second, base, mid), np.where(second, mid, end)
             other = low.copy()
             open_ = np.flatnonzero(low < high)
             while len(open_):
                 at = (low[open_] + high[open_]) >> 1
-                x, y = order[open_], order[at]
+                x, y = order[every[open_]], order[at]
                 diff = self.beyond(start[x], start[y], size[x], size[y])
                 after = np.where(second[open_], diff >= 0, diff > 0)  # equal ones keep their order
                 low[open_] = np.where(after, at + 1, low[open_])
                 high[open_] = np.where(after, high[open_], at)
                 open_ = open_[low[open_] < high[open_]]
             place = every - np.where(second, mid, base) + low - other + base
-            merged = np.empty(n, np.int64)
-            merged[place] = order
+            merged = order.copy()
+            merged[place] = order[every]
             order, width = merged, width * 2
+            every = np.flatnonzero(total > width)
         return order
 
-    def neighbours(self, start: np.ndarray, size: np.ndarray, order: np.ndarray) -> np.ndarray | None:
-        """Common extension of each suffix with the next in order; None if a hash collision shows in the bytes."""
+    def neighbours(self, start: np.ndarray, size: np.ndarray, order: np.ndarray, group: np.ndarray) -> np.ndarray | None:
+        """Common extension of each suffix with the next in order, -1 across groups; None if a hash collision shows in
+        the bytes."""
         i, j = start[order[:-1]], start[order[1:]]
-        agreed = self.agree(i, j, np.minimum(size[order[:-1]], size[order[1:]]))
+        same = group[order[:-1]] == group[order[1:]]
+        agreed = np.full(len(i), -1)
+        agreed[same] = self.agree(i[same], j[same], np.minimum(size[order[:-1]], size[order[1:]])[same])
         for lo in range(0, len(i), 1 << 16):
-            n = agreed[lo:lo + (1 << 16)]
+            n = np.maximum(agreed[lo:lo + (1 << 16)], 0)
             step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             if (self.raw[np.repeat(i[lo:lo + (1 << 16)], n) + step] != self.raw[np.repeat(j[lo:lo + (1 << 16)], n) + step]).any():
                 return None
@@ -88,32 +97,33 @@ class Suffixes:
 
 
 def sorted_suffixes(raw: np.ndarray, begin: np.ndarray, sizes: np.ndarray, start: np.ndarray, length: np.ndarray,
-                    most: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order, common extension with the next), with other codes as long as a collision shows."""
+                    group: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, common extension with the next) within groups, with other codes as long as a collision shows."""
     seed = 31
     while True:
         suffixes = Suffixes(raw, begin, sizes, byte_codes(seed), most)
-        order = suffixes.sort(start, length)
-        agreed = suffixes.neighbours(start, length, order)
+        order = suffixes.sort(start, length, group)
+        agreed = suffixes.neighbours(start, length, order, group)
         if agreed is not None:
             return order, agreed
         seed += 1
 
 
-def settle(raw: np.ndarray, begin: np.ndarray, left: np.ndarray, end: np.ndarray, did: np.ndarray,
+def settle(raw: np.ndarray, begin: np.ndarray, left: np.ndarray, end: np.ndarray, did: np.ndarray, group: np.ndarray,
            length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """(context, offset) of each window, ``offset`` bytes left of its context's anchor, that a smaller document has.
 
-    Two suffix sorts, rightward from the anchors and leftward from them, and the extensions between neighbours cut
-    the contexts into classes at each depth; a window is the same in two contexts if they share its class rightward at
+    Two suffix sorts, rightward from the anchors and leftward from them, among the contexts of each gram, and the extensions
+    between neighbours cut the contexts into classes at each depth; a window is the same in two contexts if they share its class rightward at
     ``length - offset`` and leftward at ``offset``."""
     n = len(begin)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    group = np.unique(group, return_inverse=True)[1]
     total, size, anchor = len(raw), end - begin, begin + left
     room = np.minimum(end - anchor, length)
-    right, agreed_right = sorted_suffixes(raw, begin, size, anchor, room, length)
-    backward, agreed_left = sorted_suffixes(raw[::-1].copy(), (total - end)[::-1], size[::-1], total - anchor, left, length)
+    right, agreed_right = sorted_suffixes(raw, begin, size, anchor, room, group, length)
+    backward, agreed_left = sorted_suffixes(raw[::-1].copy(), (total - end)[::-1], size[::-1], total - anchor, left, group, length)
     by_id = np.argsort(did, kind="stable")
     which, offsets = [], []
     to_right, to_left = np.empty(n, np.int64), np.empty(n, np.int64)

@@ -57,7 +57,7 @@ def deep_nodes(raw: np.ndarray, start: np.ndarray, depth: int) -> tuple[np.ndarr
     return own, node
 
 
-def settle(raw: np.ndarray, begin: np.ndarray, left: np.ndarray, end: np.ndarray, did: np.ndarray,
+def settle(raw: np.ndarray, begin: np.ndarray, left: np.ndarray, end: np.ndarray, did: np.ndarray, _group: np.ndarray,
            length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """(context, offset) of each window, ``offset`` words left of its context's anchor, that a smaller document has:
     a window repeats if its deep node holds a suffix of a smaller document."""
@@ -92,7 +92,8 @@ def _codes(raw: np.ndarray) -> np.ndarray:
     return raw
 
 
-WORDS = Windows(LENGTH, GRAM, words_of, _codes, "u8", settle)
+#: Contexts carry half of each word's hash: thirteen of them in a row are more than enough to tell windows apart.
+WORDS = Windows(LENGTH, GRAM, words_of, _codes, "<u4", settle)
 
 
 def _kept(texts: pa.Array, first: np.ndarray, gone: np.ndarray, shown) -> tuple:

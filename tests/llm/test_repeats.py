@@ -82,9 +82,12 @@ def test_suffix_sort():
     sizes = np.array(list(map(len, strings)))
     begin = np.cumsum(sizes) - sizes
     at = np.array([rng.randrange(n) for n in sizes])
-    order, agreed = suffix_dedup.sorted_suffixes(raw, begin, sizes, begin + at, sizes - at, 64)
+    order, agreed = suffix_dedup.sorted_suffixes(raw, begin, sizes, begin + at, sizes - at, np.zeros(300, np.int64), 64)
     own = [strings[k][at[k]:] for k in order]
     assert own == sorted(own)
+    of = np.array([rng.randrange(9) for _ in at])
+    split, _ = suffix_dedup.sorted_suffixes(raw, begin, sizes, begin + at, sizes - at, of, 64)
+    assert [(of[k], strings[k][at[k]:]) for k in split] == sorted((g, s[a:]) for g, s, a in zip(of, strings, at))
     assert agreed.tolist() == [next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b))) for a, b in zip(own, own[1:])]
 
 
@@ -106,5 +109,5 @@ def test_empty_tables_and_texts_cut(spark):
     assert suffix_dedup.digests(empty).collect() == [] and suffix_tree.digests(empty).collect() == []
     body = "é" * 30
     docs = spark.createDataFrame([(1, body, 4), (2, f"a{body}b", 4), (3, None, 4)], "doc_id long, text string, n_chars int")
-    assert sorted(map(tuple, suffix_dedup.cleaned(docs).collect())) == [(1, body, 4), (2, "ab", 4), (3, "", 4)]
+    assert sorted(map(tuple, suffix_dedup.cleaned(docs).collect())) == [(1, body, 30), (2, "ab", 2), (3, "", 0)]
     assert [r.kept for r in suffix_dedup.removed(docs, keep=["doc_id"]).orderBy("doc_id").collect()] == [body.encode(), b"ab", b""]
