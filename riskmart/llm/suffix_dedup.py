@@ -22,11 +22,16 @@ class Suffixes:
 
     def __init__(self, raw: np.ndarray, begin: np.ndarray, sizes: np.ndarray, codes: np.ndarray, most: int) -> None:
         self.raw, self.steps = raw, int(most).bit_length()
-        self.local = np.arange(len(raw)) - np.repeat(begin, sizes)
         up, self.down = powers(int(sizes.max(initial=0)) + 1)
-        self.prefix = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(codes[raw] * up[self.local], out=self.prefix[1:])
-        self.local = np.append(self.local, 0)
+        self.prefix, self.local = np.zeros(len(raw) + 1, np.uint64), np.zeros(len(raw) + 1, np.uint16)
+        step = 1 << 11  # strings at a time, as a frequent gram may bring very many
+        for lo in range(0, len(begin), step):
+            b, n = begin[lo:lo + step], sizes[lo:lo + step]
+            a, z = int(b[0]), int(b[-1] + n[-1])
+            local = np.arange(a, z) - np.repeat(b, n)
+            self.local[a:z] = local
+            np.cumsum(codes[raw[a:z]] * up[local], out=self.prefix[a + 1:z + 1])
+            self.prefix[a + 1:z + 1] += self.prefix[a]
 
     def agree(self, i: np.ndarray, j: np.ndarray, most: np.ndarray) -> np.ndarray:
         """Length of the common extension of the suffixes at i and j, ``most`` at most."""
