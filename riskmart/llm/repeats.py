@@ -196,7 +196,7 @@ def _find(w: Windows, buckets: int):
             own = row[part[docs]]
             blobs.append(b"".join([head, dids[own].astype("<i8").tobytes(), keys[own].astype("<i8").tobytes(),
                                    np.diff(np.append(docs, len(part))).astype("<u4").tobytes(), at[part].astype("<u4").tobytes(),
-                                   _short(g[part]), _short(c[part])]))
+                                   g[part].astype("<u8").tobytes(), _short(c[part])]))
         yield _packed(to[starts], blobs)
 
     def run(batches):
@@ -246,11 +246,10 @@ def _meet(w: Windows, buckets: int):
         for blob in packed:
             docs, n = np.frombuffer(blob, "<u4", 2)
             o = 8
-            for out, kind, size in ((dids, "<i8", docs), (keys, "<i8", docs), (counts, "<u4", docs), (at, "<u4", n)):
+            for out, kind, size in ((dids, "<i8", docs), (keys, "<i8", docs), (counts, "<u4", docs), (at, "<u4", n), (g, "<u8", n)):
                 out.append(np.frombuffer(blob, kind, size, o))
                 o += out[-1].nbytes
-            g.append(_long(blob[o:o + 5 * n]))
-            c.append(_long(blob[o + 5 * n:]))
+            c.append(_long(blob[o:]))
         packed.clear()
         dids, keys, counts, at, g, c = map(np.concatenate, (dids, keys, counts, at, g, c))
         row = np.repeat(np.arange(len(dids)), counts)

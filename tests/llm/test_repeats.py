@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from riskmart.llm import repeats, suffix_dedup, suffix_tree
 
@@ -75,6 +76,45 @@ def test_many_contexts_in_one_task(spark, monkeypatch):
     assert repeats._EDGE in kinds and repeats._PACKED in kinds
 
 
+def batch_of(rows):
+    return pa.RecordBatch.from_arrays([pa.array([9 if i is None else i for i, _ in rows]), pa.array(range(len(rows))),
+                                       pa.array([t or "" for _, t in rows])], names=["did", "text_key", "text"])
+
+
+def edges_of(w, parts, buckets):
+    """Edges that steps 1 and 2 make of tables of rows, a task each: (row's key, place, gram hash)."""
+    found = [b for part in parts for b in repeats._find(w, buckets)(iter([batch_of(part)]))]
+    rows = pa.Table.from_batches(found).sort_by("bucket")
+    met = pa.Table.from_batches(list(repeats._meet(w, buckets)(iter(rows.to_batches()))))
+    edges = [r for r in met.select(["text_key", "kind", "a", "b"]).to_pylist() if r["kind"] == repeats._EDGE]
+    return [(r["text_key"], at, g % (1 << 64)) for r in edges for at, g in zip(r["a"], r["b"])]
+
+
+def test_edges_keep_whole_grams(monkeypatch):
+    monkeypatch.setattr(repeats, "HOT", 2)
+    for w, sep in ((suffix_dedup.BYTES, ""), (suffix_tree.WORDS, " ")):
+        rows = corpus(8, sep)
+        edges = edges_of(w, [rows[i::3] for i in range(3)], 7)
+        raw, first = w.tokens(pa.array([t or "" for _, t in rows]))
+        _, every, _ = repeats.anchors(w, raw, first)
+        assert {g for _, _, g in edges} <= set(every.tolist())
+        to = np.bincount(repeats._bucket(np.unique(np.array([g for _, _, g in edges], np.uint64)), 7), minlength=7)
+        assert to.min() > 0 and to.max() < 0.4 * to.sum()
+
+
+def test_many_contexts_over_several_tasks(spark, monkeypatch):
+    for name, value in (("HOT", 3), ("HELD_ANCHORS", 50), ("HELD_CONTEXTS", 1 << 12), ("BLOCK", 1 << 11)):
+        monkeypatch.setattr(repeats, name, value)
+    for seed in (9, 10):
+        rows = corpus(seed)
+        got = suffix_dedup.digests(frame(spark, rows)).collect()
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute(rows, lambda t: list(t.encode()), 50, bytes)))
+        rows = corpus(seed, " ")
+        got = suffix_tree.digests(frame(spark, rows)).collect()
+        want = brute(rows, lambda t: re.findall(r"[^\x20\x09-\x0D]+", t), 13, lambda w: " ".join(w).encode())
+        assert sorted(map(str, map(tuple, got))) == sorted(str((a, b, c, e)) for a, b, c, _, e in want)
+
+
 def test_suffix_sort():
     rng = random.Random(6)
     strings = [bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 40))) for _ in range(300)]
