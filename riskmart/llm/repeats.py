@@ -11,7 +11,7 @@ tokens (by hash) marks an anchor, so equal windows have equal anchors, and only
    windows of an edge, whether a smaller document has it.
 
 All three steps look at the input alone. Grams that one task has very many contexts of (``HOT``) go to step 3 straight
-away, and only ``HOT`` of them to step 2, where they show the others that the gram is shared; in step 3 each task settles
+away, and only ``HOT`` of them to step 2, marked, which sends what is left of that gram to step 3; in step 3 each task settles
 its own edges first and passes on those with windows that are still open. So what one frequent gram sends is bounded
 per task.
 """
@@ -180,10 +180,12 @@ def _find(w: Windows, buckets: int):
         fresh = runs(g[order])
         starts = np.flatnonzero(fresh)
         size = np.diff(np.append(starts, len(order)))
+        hot = np.zeros(len(row), bool)
         if len(size) and size.max() > HOT:
             place = np.arange(len(order)) - np.repeat(starts, size)
-            hot = order[np.repeat(size > HOT, size)]
-            yield _per_row(_EDGE, dids, keys, row[hot], at[hot], g[hot].view(np.int64), buckets)
+            every = order[np.repeat(size > HOT, size)]
+            yield _per_row(_EDGE, dids, keys, row[every], at[every], g[every].view(np.int64), buckets)
+            hot[every] = True
             left = np.sort(order[place < HOT])
         to = _bucket(g[left], buckets)
         left, to = left[o := np.argsort(to, kind="stable")], to[o]
@@ -196,7 +198,7 @@ def _find(w: Windows, buckets: int):
             own = row[part[docs]]
             blobs.append(b"".join([head, dids[own].astype("<i8").tobytes(), keys[own].astype("<i8").tobytes(),
                                    np.diff(np.append(docs, len(part))).astype("<u4").tobytes(), at[part].astype("<u4").tobytes(),
-                                   g[part].astype("<u8").tobytes(), _short(c[part])]))
+                                   g[part].astype("<u8").tobytes(), np.packbits(hot[part]).tobytes(), _short(c[part])]))
         yield _packed(to[starts], blobs)
 
     def run(batches):
@@ -242,16 +244,18 @@ def by_bucket(batches, work):
 def _meet(w: Windows, buckets: int):
     """Step 2: anchors of a bucket to settled anchors and edges; what is settled passes through."""
     def met(packed):
-        dids, keys, counts, at, g, c = [], [], [], [], [], []
+        dids, keys, counts, at, g, sent, c = [], [], [], [], [], [], []
         for blob in packed:
             docs, n = np.frombuffer(blob, "<u4", 2)
             o = 8
             for out, kind, size in ((dids, "<i8", docs), (keys, "<i8", docs), (counts, "<u4", docs), (at, "<u4", n), (g, "<u8", n)):
                 out.append(np.frombuffer(blob, kind, size, o))
                 o += out[-1].nbytes
+            o += (bits := (n + 7) // 8)
+            sent.append(np.unpackbits(np.frombuffer(blob, np.uint8, bits, o - bits), count=n).astype(bool))
             c.append(_long(blob[o:]))
         packed.clear()
-        dids, keys, counts, at, g, c = map(np.concatenate, (dids, keys, counts, at, g, c))
+        dids, keys, counts, at, g, sent, c = map(np.concatenate, (dids, keys, counts, at, g, sent, c))
         row = np.repeat(np.arange(len(dids)), counts)
         did = dids[row]
         order = np.lexsort((did, c, g))
@@ -269,7 +273,9 @@ def _meet(w: Windows, buckets: int):
         least, most = (np.full(len(contexts), v) for v in (np.iinfo(np.int64).max, np.iinfo(np.int64).min))
         np.minimum.at(least, group[~done], did_s[~done])
         np.maximum.at(most, group[~done], did_s[~done])
-        edge = order[~done & ((contexts > 1) & (least < most))[group]]
+        # step 3 has contexts of a hot gram that are not here, so all others of that gram go there too
+        hot = np.bincount(group, sent[order]) > 0
+        edge = order[~done & ~sent[order] & (hot | (contexts > 1) & (least < most))[group]]
         if len(edge):
             yield _per_row(_EDGE, dids, keys, row[edge], at[edge], g[edge].view(np.int64), buckets)
     return lambda batches: by_bucket(batches, met)

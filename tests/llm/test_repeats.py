@@ -115,6 +115,19 @@ def test_many_contexts_over_several_tasks(spark, monkeypatch):
         assert sorted(map(str, map(tuple, got))) == sorted(str((a, b, c, e)) for a, b, c, _, e in want)
 
 
+def test_copies_in_one_document_meet_a_smaller_one_elsewhere(spark):
+    rng = random.Random(11)
+    for digests, sep, want in (
+            (suffix_dedup.digests, "", lambda rows: brute(rows, lambda t: list(t.encode()), 50, bytes)),
+            (suffix_tree.digests, " ", lambda rows: [(a, b, c, e) for a, b, c, _, e in brute(rows, str.split, 13, lambda w: " ".join(w).encode())])):
+        passage = sep.join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(40))
+        often = sep.join([passage] * (repeats.HOT + 36))
+        for rows in ([(5, often), (3, passage)], [(5, often), (3, passage), (7, passage), (2, "x"), (4, often)]):
+            docs = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(len(rows), "doc_id")
+            got = digests(docs).collect()
+            assert sorted(map(tuple, got)) == sorted(want(rows))
+
+
 def test_suffix_sort():
     rng = random.Random(6)
     strings = [bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 40))) for _ in range(300)]
