@@ -20,7 +20,11 @@ LAYOUTS = 900
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = set("script style noscript template iframe object svg math head title select option textarea button canvas "
              "audio video datalist input".split())
-RAW = set("script style textarea title noscript iframe template".split())
+RAW = set("script style textarea title noscript iframe".split())
+#: What leaves a head open; anything else ends it.
+IN_HEAD = set("base link meta title noscript style script template".split())
+#: Elements of SVG and MathML that hold HTML again.
+HOSTS = {"foreignobject", "annotation-xml", "desc"}
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
              "span strike strong sub sup time tt u var wbr br img".split())
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
@@ -61,17 +65,24 @@ class Node:
 
 
 def parse(page: str) -> list[Node]:
-    """Block-level elements in page order; inline elements dissolve into their block, unseen ones vanish.
+    """Block-level elements in page order; inline elements dissolve into their block, unseen ones vanish with all that is
+    in them.
 
     Text in links is kept apart as ('a', text)."""
     nodes = [Node("html", {}, -1, 0)]
     stack: list[tuple[str, int]] = [("html", 0)]  # open elements: tag, block it belongs to
     skip_until, links = None, 0
+    hidden = None  # where in the stack the outermost unseen element is
     for m in PIECES.finditer(page):
         tag = m[2]
         if tag is None:
             piece = m[0]
             if skip_until is None and (piece[0] != "<" or piece == "<"):
+                if hidden is not None:
+                    if stack[hidden][0] != "head" or len(stack) > hidden + 1 or not piece.strip():
+                        continue
+                    del stack[hidden:]
+                    hidden = None
                 text = entities.unescape(piece) if "&" in piece else piece
                 nodes[stack[-1][1]].inside.append(("a", text) if links else text)
             continue
@@ -83,18 +94,38 @@ def parse(page: str) -> list[Node]:
         if m[1]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == tag:
-                    links -= sum(t == "a" for t, _ in stack[i:])
+                    links -= sum(t == "a" for t, _ in stack[i:hidden])
                     del stack[i:]
+                    if hidden is not None and i <= hidden:
+                        hidden = None
                     break
+                if stack[i][0] == "template" or stack[i][0] == "button" and tag == "p":
+                    break  # what is open around these does not end in them
             else:
-                if tag in ("p", "br"):
+                if tag in ("p", "br") and hidden is None:
                     nodes[stack[-1][1]].inside.append(" ")
             continue
+        if hidden is not None:
+            root = stack[hidden][0]
+            if (root == "head" and len(stack) == hidden + 1 and tag not in IN_HEAD or root == tag and tag in ("option", "button", "select")
+                    or root in ("svg", "math") and tag in CLOSES_P and not any(t in HOSTS for t, _ in stack[hidden:])):
+                del stack[hidden:]  # ends without an end tag
+                hidden = None
         if tag in RAW:
             skip_until = tag if not m[3].rstrip().endswith("/") else None
             continue
         if tag in VOID:
-            nodes[stack[-1][1]].inside.append(" ")
+            if hidden is None:
+                nodes[stack[-1][1]].inside.append(" ")
+            continue
+        if hidden is not None or tag in UNSEEN:
+            if hidden is None:
+                nodes[stack[-1][1]].inside.append(" ")
+                hidden = len(stack)
+            stack.append((tag, stack[-1][1]))
+            if m[3].rstrip().endswith("/") and any(t in ("svg", "math") for t, _ in stack[hidden:]):
+                stack.pop()  # only these have elements that end where they begin
+                hidden = hidden if len(stack) > hidden else None
             continue
         if tag in ("html", "body") and len(stack) == 1 and tag == "html":
             nodes[0].attributes = _attributes(m[3])

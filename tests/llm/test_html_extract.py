@@ -27,6 +27,35 @@ def test_blocks():
     assert H.text_of(nodes, np.ones(len(nodes), bool)) == "a b&c\nd e\nf é\ng\nh\ni"
 
 
+def whole(page):
+    nodes = H.parse(page)
+    return H.text_of(nodes, np.ones(len(nodes), bool))
+
+
+def test_unseen_elements_vanish_with_what_is_in_them():
+    for unseen in ("<button>Go <b>on</b></button>", "<button><div><p>Go</p></div></button>", "<select><option>x<option selected>y</select>",
+                   "<svg viewBox='0 0 1 1'><title>x</title><svg><g><path d='m'/><text>x</text></g></svg><use/>x<a>y</a></svg>", "<svg/>",
+                   "<math><mi>x</mi></math>", "<canvas>no <a href=#>canvas</a></canvas>", "<video src=v><track><p>no video</p></video>",
+                   "<audio>no audio</audio>", "<object><object>x</object>y</object>", "<datalist><option>x</option></datalist>",
+                   "<template><template>x</template><p>y</p></template>", "<svg><foreignObject><div>x</div></foreignObject>y</svg>",
+                   "<option>x<option>y</option>", "<button>x<button>y</button>", "<video><img><br>x</video>", "<svg><script>a < b</script>x</svg>"):
+        assert whole(f"<div><p>a {unseen} b <i>c</i></p>d</div> e") == "a b c\nd\ne", unseen
+        assert whole(f"<p>a{unseen}<a href=#>b</a> c") == "a b c", unseen
+    assert whole("a <textarea><b>x</textarea> b <iframe>x</iframe>c") == "a b c"
+    assert whole("<head><title>x</title><meta>\n<p>a") == whole("<head><title>x</title>a") == "a"
+    assert whole("<html><head><title>x</title><style>y</style></head><body>a") == whole("<head><link><body>a</body>") == "a"
+    assert whole("<div><button>x</div><p>a") == whole("<div><svg><g></div><p>a") == whole("<svg><g><p>a") == "a"
+    links = H.parse("<a>b<svg><a>x</a></svg>c</a>d")[0].inside
+    assert [x for x in links if x != " "] == [("a", "b"), ("a", "c"), "d"]
+
+
+def test_unseen_elements_in_the_article(trees):
+    body = "".join(f"<p>{p}<button>Copy</button></p><select><option>One, and more</option><option>Two</option></select>"
+                   f"<svg><title>Icon</title><text>Drawn, with words</text></svg>" for p in PARAGRAPHS[:6])
+    page = f"<body><nav><a href=/>Home</a></nav><article><h1>Head</h1>{body}<video>No video, sorry about that.</video></article></body>"
+    assert text(page, trees) == "Head\n" + "\n".join(PARAGRAPHS[:6])
+
+
 def test_settled_is_the_best_choice():
     nodes = H.parse("<div><p>a</p><section><p>b</p><p>c</p></section></div><div><p>d</p></div>")
     n = len(nodes)
