@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskmart.llm import (bpe, decontaminate, html_extract, iblt, jaccard_join, ordinal, ring, suffix_dedup,
-                          suffix_tree, toxicity)
+from riskmart.llm import (bpe, decontaminate, html_extract, iblt, importance, jaccard_join, ordinal, packing, ring, runs,
+                          suffix_dedup, suffix_tree, toxicity)
 from riskmart.llm.common import prepared
 
 QUERIES = {}
@@ -97,3 +100,34 @@ def op10_byte_bpe(spark, sf_dir):
 
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                               public_tokenizers.PATTERN)
+
+
+def planted(doc_id: int | None, n: int) -> np.ndarray | None:
+    """In one document of ten (by the checksum of its id) the words from some place on repeat with some period."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    return np.r_[0:a, a + np.arange(n - a) % (1 + (n - a) // (3 + g % 8))]
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    """Runs of words that repeat four times or more, and each document without the repeats."""
+    return runs.digests(table(spark, sf_dir, "documents"), edit=planted)
+
+
+@query
+def op12_importance(spark, sf_dir):
+    """Documents drawn by how much likelier the benchmark has their words, with Gumbel noise."""
+    found = importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_packing(spark, sf_dir):
+    """All documents as pieces in sequences of 4096 tokens."""
+    import public_tokenizers
+
+    return packing.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
