@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from riskmart.session import remove
+from riskmart.sources.feeds import accepted, bind_feed
 
 SNAPSHOT = "snapshot_date"
 
@@ -22,8 +23,10 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
 
 
 def read_feed(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """Scan a raw CSV feed with a header; no inference pass over the data."""
-    return spark.read.schema(text_schema(columns)).csv(path, header=True)
+    """Rows of a raw CSV feed as text, every file bound by its own header; no inference pass over the data.
+
+    Rows that do not match their header are left out here; ``feeds.rejected`` of ``feeds.bind_feed`` has them."""
+    return accepted(bind_feed(spark, path, columns), columns)
 
 
 def write_feed(df: DataFrame, path: str) -> None:

@@ -340,6 +340,20 @@ select {day("snapshot_date")}, count(*) as row_count, count(distinct loan_id) as
   cast(sum(cast(round(balance * 1000) as bigint)) as bigint) as balance_mills, count(overdue_amt) as overdue_present
 from loans group by snapshot_date""")
 
+CTES["mixed"] = (("loans",), """
+  select *, case when k % 29 = 0 then 'short' when k % 31 = 0 then 'long' when k % 37 = 0 then 'twice' else cast(k % 4 as varchar) end as kind
+  from (select *, cast(substr(loan_id, 2) as bigint) as k from loans) x""")
+ORACLES["bronze_reordered"] = sql("mixed", f"""
+select {day("snapshot_date")}, count(*) as row_count, count(distinct loan_id || '/' || Customer_ID) as loan_count, cast(sum(installment_num) as bigint) as installments,
+  count(case when kind <> '2' then balance end) as with_balance,
+  cast(sum(case when kind <> '2' then cast(round(balance * 1000) as bigint) end) as bigint) as balance_mills,
+  count(case when kind = '3' then 1 end) as rescued, max(case when kind = '3' then concat('branch ', k % 7) end) as last_branch
+from mixed where kind in ('0', '1', '2', '3') group by snapshot_date""")
+ORACLES["bronze_quarantine"] = sql("mixed", """
+select case kind when 'twice' then 'column twice in the header: loan_id' else 'cells do not match the header' end as feed_reason,
+  count(*) as n_rows, count(distinct loan_id) as n_loans, cast(sum(case kind when 'short' then 5 when 'long' then 12 else 11 end) as bigint) as n_cells
+from mixed where kind in ('short', 'long', 'twice') group by all""")
+
 _AGAIN = "case when year(snapshot_date) = 1997 then dpd + 1000 else dpd end"
 ORACLES["overwrite_idempotent"] = sql("s_loans_dpd", f"""
 select {day("snapshot_date")}, count(*) as row_count, cast(sum({_AGAIN}) as bigint) as dpd_sum from s_loans_dpd group by snapshot_date""")

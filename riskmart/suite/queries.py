@@ -10,7 +10,7 @@ from riskmart.functions.dates import month_calendar, snapshot_tag, tag_date
 from riskmart.operators import checks, drift, metrics, models, prep, quality, readiness, report, silver, stats
 from riskmart.plans import medallion, monitoring, scoring, training
 from riskmart.session import new_path, tune, written
-from riskmart.sources import history, predictions as prediction_table, registry, snapshots
+from riskmart.sources import feeds, history, predictions as prediction_table, registry, snapshots
 from riskmart.suite import tables
 
 REGISTRY = {}
@@ -78,6 +78,27 @@ def bronze_roundtrip(spark, sf_dir):
         F.count("overdue_amt").alias("overdue_present"))
 
 
+@query
+def bronze_reordered(spark, sf_dir):
+    """A feed of files with different headers, bound by name: what lands per snapshot."""
+    bound = feeds.bind_feed(spark, tables.mixed_feed(spark, sf_dir), LOAN_COLUMNS)
+    landed = bound.where(F.col(feeds.REASON).isNull())
+    return landed.groupBy("snapshot_date").agg(
+        F.count("*").alias("row_count"), F.countDistinct("loan_id", "Customer_ID").alias("loan_count"),
+        F.sum(F.col("installment_num").cast("int")).alias("installments"), F.count("balance").alias("with_balance"),
+        F.sum(F.round(F.col("balance").cast("double") * 1000).cast("bigint")).alias("balance_mills"),
+        F.count(feeds.RESCUED).alias("rescued"), F.max(F.get_json_object(feeds.RESCUED, "$.branch")).alias("last_branch"))
+
+
+@query
+def bronze_quarantine(spark, sf_dir):
+    """Rows of the same feed that do not match their header, by reason, with the loans they speak of."""
+    rows = feeds.rejected(feeds.bind_feed(spark, tables.mixed_feed(spark, sf_dir), LOAN_COLUMNS))
+    return rows.groupBy(feeds.REASON).agg(
+        F.count("*").alias("n_rows"), F.countDistinct(F.split(feeds.RECORD, ",")[0]).alias("n_loans"),
+        F.sum(F.size(F.split(feeds.RECORD, ","))).alias("n_cells"))
+
+
 @query
 def overwrite_idempotent(spark, sf_dir):
     """Writing a year again, with other rows, replaces that year and leaves the rest."""

@@ -185,6 +185,32 @@ def feeds(spark, sf_dir) -> dict[str, tuple[str, list[str]]]:
     return _stored[key]
 
 
+def mixed_feed(spark, sf_dir) -> str:
+    """The loan feed as several systems deliver it: plain files, files with their columns backwards and in capitals, files
+    without the balance, files with a further column; rows cut short, rows with a cell too many, and files whose header
+    names a column twice. Written once per session; returns its folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, "mixed-feed")
+    if key not in _stored:
+        path = new_path(spark, "mixed-feed")
+        rows = loans(spark, sf_dir).withColumn("k", F.expr("cast(substr(loan_id, 2) as bigint)"))
+        names = [c for c in rows.columns if c != "k"]
+        kind = F.expr("case when k % 29 = 0 then 'short' when k % 31 = 0 then 'long' when k % 37 = 0 then 'twice' "
+                      "else cast(k % 4 as string) end")
+        rows = rows.withColumn("kind", kind)
+        cells = {"0": names, "1": [F.col(c).alias(c.upper()) for c in reversed(names)], "2": [c for c in names if c != "balance"],
+                 "3": [*names[:3], F.concat(F.lit("branch "), F.col("k") % 7).alias("branch"), *names[3:]]}
+        for own, columns in cells.items():
+            write_feed(rows.where(F.col("kind") == own).select(*columns), f"{path}/kind={own}")
+        text = [F.col(c).cast("string") for c in names]
+        lines = {"short": (names, F.array_join(F.array(*text[:5]), ",", "")), "long": (names, F.array_join(F.array(*text, F.lit("x")), ",", "")),
+                 "twice": ([*names[:-1], names[0]], F.array_join(F.array(*text), ",", ""))}
+        for own, (header, line) in lines.items():  # one column without quotes, whose name is the header
+            (rows.where(F.col("kind") == own).select(line.alias(",".join(header)))
+             .write.csv(f"{path}/kind={own}", header=True, sep="\u0001", quote="\u0000"))
+        _stored[key] = path
+    return _stored[key]
+
+
 def stored_predictions(spark, sf_dir) -> DataFrame:
     """The predictions as the partitioned table that scoring writes."""
     def build():
