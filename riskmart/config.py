@@ -146,6 +146,7 @@ class ModelSettings:
     trees: int = 100
     forest_depth: int = 10
     forest_leaf: int = 2
+    forest_split: int = 5
     boosting_rounds: int = 100
     boosting_depth: int = 6
     boosting_rate: float = 0.1

@@ -6,8 +6,10 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +33,24 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once per application: they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    folder, package = tempfile.mkdtemp(prefix="riskmart-"), Path(__file__).parent  # Spark fetches it from the driver
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = Path(folder) / "riskmart.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(path))
+    _shipped.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, else the context's checkpoint folder.
 

@@ -706,3 +706,22 @@ select 'alpha' as model_name, {day("snapshot_date")}, spell > 0 and spell > coal
 from (select snapshot_date, rate, rate < 0.7 as fails, datediff('month', min(snapshot_date) over (), snapshot_date) // 2 as spell
       from (select snapshot_date, avg(label) as rate from label_rows group by snapshot_date) r) q
 window w as (order by snapshot_date)""")
+
+# derivatives of the log loss at the start, sums left of each of at most 254 quantiles, the greatest gain
+ORACLES["boosted_stump"] = """
+with rows as (select vec_id, case when label < 3 then 1 else 0 end as y, embedding from embeddings),
+base as (select count(*) as n, -(sum(0.5 - y)) / (0.25 * count(*)) as start from rows),
+grad as (select vec_id, 1 / (1 + exp(-start)) - y as g, 1 / (1 + exp(-start)) * (1 - 1 / (1 + exp(-start))) as h, embedding from rows, base),
+cell as (select vec_id, f, cast(embedding[f] as double) as x, g, h from grad, range(1, 65) r(f)),
+ranked as (select f, x, row_number() over (partition by f order by x) as k, count(*) over (partition by f) as n, max(x) over (partition by f) as top from cell),
+edge as (select distinct f, x as edge from ranked join range(1, 255) q(i) on k = ceil((i::double / 255) * n) where x < top),
+upto as (select f, x, sum(g) over w as gl, sum(h) over w as hl, sum(g) over (partition by f) as ga, sum(h) over (partition by f) as ha
+         from cell window w as (partition by f order by x range between unbounded preceding and current row)),
+gain as (select distinct u.f, edge, gl, hl, ga, ha, gl * gl / (hl + 1) + (ga - gl) * (ga - gl) / (ha - hl + 1) - ga * ga / (ha + 1) as gain
+         from edge join upto u on edge.f = u.f and edge.edge = u.x where hl >= 1 and ha - hl >= 1),
+best as (select * from gain qualify row_number() over (order by round(gain, 9) desc, f, edge) = 1),
+margin as (select avg(start + case when x <= edge then -gl / (hl + 1) else -(ga - gl) / (ha - hl + 1) end) as mean_margin, count(*) as n_rows
+           from cell join best on cell.f = best.f, base)
+select cast(f as int) as feature, round(edge, 6) + 0.0 as threshold, round(-gl / (hl + 1), 6) + 0.0 as left_weight,
+  round(-(ga - gl) / (ha - hl + 1), 6) + 0.0 as right_weight, n_rows, round(mean_margin, 6) + 0.0 as mean_margin
+from best, margin"""

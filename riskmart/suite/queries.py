@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from riskmart import config
 from riskmart.functions.cleaning import nan_to_null
 from riskmart.functions.dates import month_calendar, snapshot_tag, tag_date
 from riskmart.operators import checks, drift, metrics, models, prep, quality, readiness, report, silver, stats
+from riskmart.operators.trees import HistogramTrees
 from riskmart.plans import medallion, monitoring, scoring, training
 from riskmart.session import new_path, tune, written
 from riskmart.sources import feeds, history, predictions as prediction_table, registry, snapshots
@@ -676,6 +678,17 @@ def train_gbt(spark, sf_dir):
     return _fitted(spark, sf_dir, "GradientBoosting")
 
 
+@query
+def boosted_stump(spark, sf_dir):
+    """One boosting round of one split over all vectors: the feature, the threshold, and the weights of both leaves."""
+    frame = tables.vectors(spark, sf_dir).select("label", array_to_vector(F.array(*tables.VECTOR_FEATURES)).alias("features"))
+    model = HistogramTrees(trees=1, depth=1, rate=1.0).fit(frame)
+    fitted = model.fitted
+    return model.transform(frame).agg(F.count("*").alias("n_rows"), F.avg("rawPrediction").alias("mean_margin")).withColumns({
+        "feature": F.lit(int(fitted.feature[0, 0]) + 1), "threshold": F.lit(float(fitted.threshold[0, 0])),
+        "left_weight": F.lit(float(fitted.weight[0, 1])), "right_weight": F.lit(float(fitted.weight[0, 2]))})
+
+
 def _trained_root(spark, sf_dir):
     """Mart features, trained and registered once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
