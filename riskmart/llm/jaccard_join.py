@@ -11,7 +11,11 @@ Candidates are pairs with so many n-grams placed so.
    one with the fewest rarer n-grams, which is nearest to what the list has in common, and the least node.
    ``_gather`` brings a node's n-grams and leaders together; nodes with too few shared n-grams drop out. The
    best-supported leaders are compared exactly, and what links is merged into components.
-3. ``_apart``: the lists again, now with components: all candidate pairs of different components are compared exactly.
+3. ``_open``: the lists again, now with components: nodes with candidates of another component in enough lists stay.
+   ``_apart``: their lists once more, with a bitmap of each whole set. A bit that one of two sets has and the other has not
+   is an n-gram that they do not share, so the bits that differ bound the overlap from above; a candidate pair of
+   different components is only sent on, and compared exactly, if that bound reaches the overlap asked for. Variants of one
+   template that are not alike, whose prefixes all meet, end here without a row.
 
 ``_linked`` compares: overlaps are counted in each fragment of the order and summed per pair. So a pair is left out only
 if its prefixes rule it out or if its documents hang together by other links. A group of
@@ -35,8 +39,10 @@ SHINGLE = 5
 LIKENESS = 75
 #: The count sketch has so many cells, the order is cut into so many fragments.
 SKETCH_BITS, CHUNK, FRAGMENT_BITS = 20, 1 << 14, 3
-#: Prefix entries and pairs that a task holds before it sends them on.
-HELD = 1_500_000
+#: Prefix entries that a task holds before it sends them on, and candidate pairs that it looks at together.
+HELD, PAIRS = 1_500_000, 1 << 18
+#: Bits of a set's bitmap; n-grams of the corpus to a bucket of lists.
+BITS, BUCKET_GRAMS = 2048, 1 << 20
 
 
 def shared(n):
@@ -134,8 +140,8 @@ def ordered(own: np.ndarray, ranks: np.ndarray) -> np.ndarray:
 _PACKED = "bucket int, packed binary"
 
 
-def _pack(buckets: int, nodes, sizes, labels, row, token, place):
-    """Entries dealt by n-gram: per bucket the nodes with size and label, and five bytes and the place per entry."""
+def _pack(buckets: int, nodes, sizes, labels, row, token, place, bitmaps=None):
+    """Entries dealt by n-gram: per bucket the nodes with size, label and bitmap if any, and five bytes and the place per entry."""
     to = (token % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(to, kind="stable")
     to, row, token, place = to[order], row[order], token[order], place[order]
@@ -146,13 +152,15 @@ def _pack(buckets: int, nodes, sizes, labels, row, token, place):
         own = row[lo:hi][docs]
         blobs.append(b"".join([np.array([len(docs), hi - lo], "<u4").tobytes(), nodes[own].astype("<i8").tobytes(), sizes[own].astype("<i8").tobytes(),
                                labels[own].astype("<i8").tobytes(), np.diff(np.append(docs, hi - lo)).astype("<u4").tobytes(),
+                               b"" if bitmaps is None else bitmaps[own].tobytes(),
                                place[lo:hi].astype("<u4").tobytes(), _short(token[lo:hi] // np.uint64(buckets))]))
     return pa.RecordBatch.from_arrays([pa.array(to[starts].astype(np.int32)), pa.array(blobs, pa.binary())], names=["bucket", "packed"])
 
 
-def _unpack(batches):
-    """(token, node, size, label, place) of a partition's entries, sorted by token, size and node."""
-    parts = [[], [], [], [], []]
+def _unpack(batches, with_bitmaps: bool = False):
+    """(token, node, size, label, place, at) of a partition's entries, sorted by token, size and node, and the bitmaps, of
+    which ``at`` is the entry's."""
+    parts, bitmaps, held = [[], [], [], [], [], []], [], 0
     for batch in batches:
         for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("packed").to_pylist()):
             docs, n = np.frombuffer(blob, "<u4", 2).tolist()
@@ -160,17 +168,22 @@ def _unpack(batches):
             for kind in ("<i8", "<i8", "<i8", "<u4"):
                 table.append(np.frombuffer(blob, kind, docs, o))
                 o += table[-1].nbytes
+            if with_bitmaps:
+                bitmaps.append(np.frombuffer(blob, "<u8", docs * (BITS // 64), o).reshape(docs, -1))
+                o += bitmaps[-1].nbytes
             parts[4].append(np.frombuffer(blob, "<u4", n, o).astype(np.int64))
             parts[0].append(_long(blob[o + 4 * n:]) | np.uint64(bucket << 40))
             for out, column in zip(parts[1:4], table):
                 out.append(np.repeat(column, table[3]))
+            parts[5].append(np.repeat(np.arange(held, held + docs), table[3]))
+            held += docs
     if not parts[0]:
         return None
     columns = list(map(np.concatenate, parts))
     order = np.lexsort((columns[1], columns[2], columns[0]))
     columns = [c[order] for c in columns]
     one = runs(columns[0], columns[1])  # a node comes once per task that has a copy
-    return [c[one] for c in columns]
+    return [c[one] for c in columns], np.concatenate(bitmaps) if bitmaps else None
 
 
 def _prefixes(ranks, buckets: int):
@@ -221,7 +234,7 @@ def _lists(parts: int):
         entries = _unpack(batches)
         if entries is None:
             return
-        token, node, size, _, place = entries
+        token, node, size, _, place, _ = entries[0]
         group = np.cumsum(runs(token)) - 1
         key = (group << 32) | size
         low, many = _reach(key, group, size, place)
@@ -306,8 +319,8 @@ def _reach(key, group, size, place):
     return low, high - low
 
 
-def _dealt(buckets: int):
-    """(node, n, label, tokens, places) to packed entries."""
+def _dealt(buckets: int, with_bitmaps: bool = False):
+    """(node, n, label, tokens, places, bitmap) to packed entries."""
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
@@ -317,17 +330,15 @@ def _dealt(buckets: int):
             token = lists.flatten().to_numpy().astype(np.uint64)
             # the bucket and the 40 bits that _unpack put together, taken apart again
             token = (token & np.uint64((1 << 40) - 1)) * np.uint64(buckets) + (token >> np.uint64(40))
+            bitmaps = np.frombuffer(b"".join(batch.column("bitmap").to_pylist()), "<u8").reshape(batch.num_rows, -1) if with_bitmaps else None
             yield _pack(buckets, *(batch.column(c).to_numpy() for c in ("node", "n", "label")), row, token,
-                        batch.column("places").flatten().to_numpy())
+                        batch.column("places").flatten().to_numpy(), bitmaps)
     return run
 
 
-def _apart(batches):
-    """The candidate pairs of different components, in lists that hold several."""
-    entries = _unpack(batches)
-    if entries is None:
-        return
-    token, node, size, label, place = entries
+def _candidates(entries):
+    """Pairs of entries of one list that can be alike and are of different components, some at a time."""
+    token, node, size, label, place, _ = entries
     group = np.cumsum(runs(token)) - 1
     # per list the label of most entries: pairs are drawn from the other entries only
     order = np.lexsort((label, group))
@@ -343,37 +354,73 @@ def _apart(batches):
     reach = np.cumsum(many[rows])
     lo = 0
     while lo < len(rows):
-        hi = max(lo + 1, int(np.searchsorted(reach, (reach[lo - 1] if lo else 0) + HELD, "right")))
+        hi = max(lo + 1, int(np.searchsorted(reach, (reach[lo - 1] if lo else 0) + PAIRS, "right")))
         part = rows[lo:hi]
         width = many[part]
         i = np.repeat(part, width)
         j = np.repeat(low[part] - (np.cumsum(width) - width), width) + np.arange(width.sum())
         ok = (label[i] != label[j]) & possible(size[i], place[i], size[j], place[j])
+        yield i[ok], j[ok]
+        lo = hi
+
+
+def _open(batches):
+    """(node, n): in how many lists of this partition a node has a candidate of another component."""
+    unpacked = _unpack(batches)
+    if unpacked is None:
+        return
+    entries, _ = unpacked
+    met = np.zeros(len(entries[1]), bool)
+    for i, j in _candidates(entries):
+        met[i] = met[j] = True
+    node, n = np.unique(entries[1][met], return_counts=True)
+    yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n)], names=["node", "n"])
+
+
+def _apart(batches):
+    """The candidate pairs of different components whose bitmaps let them be alike, with the lists that hold both."""
+    unpacked = _unpack(batches, True)
+    if unpacked is None:
+        return
+    entries, bitmaps = unpacked
+    _, node, size, _, _, own = entries
+    for i, j in _candidates(entries):
+        both = size[i] + size[j]
+        differ = np.bitwise_count(bitmaps[own[i]] ^ bitmaps[own[j]]).sum(axis=1, dtype=np.int64)
+        ok = (100 + LIKENESS) * ((both - differ) // 2) >= LIKENESS * both
         i, j = i[ok], j[ok]
         swap = node[i] > node[j]
         i, j = np.where(swap, j, i), np.where(swap, i, j)
         yield pa.RecordBatch.from_arrays(list(map(pa.array, _counted(node[i], node[j], size[i], size[j]))), names=["a", "b", "na", "nb", "n"])
-        lo = hi
+
+
+def bitmap(own: np.ndarray) -> bytes:
+    """The bits that the n-grams of a set hash to."""
+    bits = np.zeros(BITS, bool)
+    bits[(mixed(own) % np.uint64(BITS)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
 
 
 def _fragments(ranks):
-    """(node, text) to (node, fragment, tokens): the set in pieces of the global order."""
+    """(node, text) to (node, fragment, tokens, bitmap): the set in pieces of the global order, its bitmap with the first."""
     def run(batches):
         for block in blocks(batches):
-            nodes, pieces, values, ends = block.column("node").to_pylist(), [], [], [0]
+            nodes, pieces, values, ends, bitmaps = block.column("node").to_pylist(), [], [], [0], []
             own_nodes = []
-            for node, own in zip(nodes, sets_of(block.column("text").combine_chunks())):
-                own = ordered(own, ranks.value)
+            for node, found in zip(nodes, sets_of(block.column("text").combine_chunks())):
+                own = ordered(found, ranks.value)
                 piece = (own >> np.uint64(64 - FRAGMENT_BITS)).astype(np.int64)
                 at = np.flatnonzero(runs(piece))
                 own_nodes += [node] * len(at)
                 pieces.append(piece[at])
                 ends += (ends[-1] + np.append(at[1:], len(own))).tolist()
                 values.append(own.view(np.int64))
+                bitmaps += [bitmap(found), *[None] * (len(at) - 1)]
             if own_nodes:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(own_nodes, pa.int64()), pa.array(np.concatenate(pieces).astype(np.int32)),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(values)))], names=["node", "fragment", "tokens"])
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(values))), pa.array(bitmaps, pa.binary())],
+                    names=["node", "fragment", "tokens", "bitmap"])
     return run
 
 
@@ -393,7 +440,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     whatever their ids. A component of null ids alone has a null id (the largest number inside); of repeated rows each
     gets the same result."""
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = keyed(docs, id_col, text_col)
     texts = rows.select("did", "text_key", "text")
     made = written(texts.mapInArrow(_sets, "did long, text_key long, n long, node long, check long, cell int, counts binary"), "ngram-sets")
@@ -401,6 +447,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = own.where("n > 0").groupBy("node").agg(F.min(F.struct("did", "text_key")).alias("first"), F.min("check").alias("c0"),
                                                    F.max("check").alias("c1"))
     nodes = written(nodes, "ngram-nodes")
+    grams = own.agg(F.sum("n")).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), grams // BUCKET_GRAMS)
     if not nodes.where("c0 <> c1").isEmpty():
         raise ValueError("two different n-gram sets share a 64-bit digest")
     ranks = spark.sparkContext.broadcast(_ranks(made))
@@ -409,12 +457,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     listed = lists.where("kind = 0").select(F.col("a").alias("node"), F.col("na").alias("n"), "tokens", "places")
     pick_text = listed.select("node").join(nodes.select("node", "first.did", "first.text_key"), "node")
     sets = written(texts.join(pick_text, ["did", "text_key"]).dropDuplicates(["did", "text_key"]).select("node", "text")
-                   .mapInArrow(_fragments(ranks), "node long, fragment int, tokens array<long>"), "ngram-fragments")
+                   .mapInArrow(_fragments(ranks), "node long, fragment int, tokens array<long>, bitmap binary"), "ngram-fragments")
     stars = lists.where("kind = 1").select("a", "b", "na", "nb").distinct()
     links = written(_linked(stars, sets), "ngram-links")
     labels = components(links)
     labelled = listed.join(labels, "node", "left").select("node", "n", F.coalesce("label", "node").alias("label"), "tokens", "places")
-    open_ = (labelled.mapInArrow(_dealt(buckets), _PACKED).repartition(buckets, "bucket").mapInArrow(_apart, _PAIRS)
+    met = (labelled.mapInArrow(_dealt(buckets), _PACKED).repartition(buckets, "bucket").mapInArrow(_open, "node long, n long")
+           .groupBy("node").agg(F.sum("n").alias("met")))
+    # as many lists as the smallest fitting partner asks for
+    still = written(labelled.join(met, "node").where(f"met >= 1 + ({LIKENESS} * n + 99) div 100 div 32").drop("met")
+                    .join(sets.where("bitmap is not null").select("node", "bitmap"), "node"), "ngram-still-open")
+    open_ = (still.mapInArrow(_dealt(buckets, True), _PACKED).repartition(buckets, "bucket").mapInArrow(_apart, _PAIRS)
              .groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb"), F.sum("n").alias("n"))
              .where("n >= 1 + least(na, nb) div 32"))
     more = written(_linked(written(open_, "ngram-open"), sets), "ngram-more-links")

@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+
 from riskmart.llm import jaccard_join
 from riskmart.llm.components import components
 
@@ -95,6 +97,54 @@ def test_one_row_stays(spark):
     assert sorted(i for i, t in got if shingles(t) and i is not None) == sorted({c for _, n, c in want if n and c is not None})
 
 
+def variants(n, seed):
+    """Texts that differ from one text of 200 words in five words each: about 0.59 alike, so hardly any two are linked."""
+    rng = random.Random(seed)
+    base = [f"t{k}" for k in range(200)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for at in rng.sample(range(200), 5):
+            words[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_rows_made_grow_with_the_entries_of_a_template(spark, monkeypatch):
+    made, whole = {}, jaccard_join.written
+
+    def counted(df, label):
+        out = whole(df, label)
+        made.setdefault(label, []).append(out.count())
+        return out
+    monkeypatch.setattr(jaccard_join, "written", counted)
+    for n in (100, 200, 400):
+        made.clear()
+        rows = variants(n, n)
+        got = jaccard_join.labelled(frame(spark, rows)).collect()
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute(rows)))
+        assert max(x for counts in made.values() for x in counts) <= 16 * n + 100, made  # 8 fragments and 2 rows a node
+        assert made["ngram-open"][0] <= n
+
+
+def test_bitmaps_bound_overlaps():
+    rng = random.Random(3)
+    for _ in range(300):
+        pool = [rng.getrandbits(64) for _ in range(rng.choice([3, 50, 900, 6000]))]
+        a, b = (np.array(sorted(rng.sample(pool, rng.randint(1, len(pool)))), np.uint64) for _ in range(2))
+        x, y = (np.frombuffer(jaccard_join.bitmap(s), np.uint64) for s in (a, b))
+        assert len(np.intersect1d(a, b)) <= (len(a) + len(b) - int(np.bitwise_count(x ^ y).sum())) // 2
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(9)
+    long = [f"w{rng.randrange(50000)}" for _ in range(30000)]
+    near = [w if rng.random() > 0.02 else "new" for w in long]
+    rows = [(3, " ".join(long)), (2, " ".join(near)), (1, " ".join(long[:12000])), (4, "a " * 20000)]
+    got = jaccard_join.labelled(frame(spark, rows)).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute(rows)))
+
+
 def test_empty_table(spark):
     assert jaccard_join.labelled(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
