@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskmart import config
 from riskmart.functions.cleaning import nan_to_null
-from riskmart.functions.scores import bin_counts, grid_bin, stability_index
+from riskmart.functions.scores import bin_counts, grid_bin, in_bins, stability_index
 from riskmart.session import written
 
 
@@ -22,6 +22,12 @@ def score_histogram(df: DataFrame, keys: Sequence[str] = (), proba: str = "predi
             .agg(bin_counts("p", edges).alias("bins"), F.count("*").alias("n_rows")))
 
 
+def counted_histogram(counts: DataFrame, keys: Sequence[str] = (), edges=config.PSI_EDGES) -> DataFrame:
+    """``score_histogram`` of a table of distinct scores: keys, score and how many rows have it (``n``)."""
+    bins = ", ".join(f"sum(if({inside}, n, 0))" for inside in in_bins("score", edges))
+    return counts.groupBy(*keys).agg(F.expr(f"array({bins})").alias("bins"), F.sum("n").alias("n_rows"))
+
+
 def histogram_bins(histogram: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """One row per group and bin: index, count and share."""
     long = histogram.select(*keys, "n_rows", F.posexplode("bins").alias("bin", "bin_count"))

@@ -88,7 +88,7 @@ def predicted_rates(df: DataFrame, keys: Sequence[str] = (), label: str = "label
         F.avg(above(p, threshold)).alias("predicted_rate_strict"))
 
 
-def _score_counts(df: DataFrame, keys: Sequence[str], label: str, proba: str) -> DataFrame:
+def score_counts(df: DataFrame, keys: Sequence[str], label: str, proba: str) -> DataFrame:
     """Positives and negatives per distinct score: ties, however many, leave as one row, and so do the
     undefined scores (null). A truth other than 0 and 1 does not count."""
     return (df.select(*keys, nan_to_null(F.col(proba)).alias("score"), F.col(label).alias("truth"))
@@ -140,7 +140,7 @@ def auc(df: DataFrame, keys: Sequence[str] = (), label: str = "label",
     Two-level rank sum: distinct scores are ranked inside even value ranges, then the ranges are
     ranked per group, so no task sorts a whole group.
     """
-    counts = _score_counts(df, keys, label, proba)
+    counts = score_counts(df, keys, label, proba)
     chunks = _by_score_chunk(counts, keys).groupBy(*keys, "chunk").agg(*_chunk_sums())
     return _area(chunks, keys).groupBy(*keys).agg(_auc_value().alias("auc_roc"))
 
@@ -156,7 +156,11 @@ def evaluate(df: DataFrame, keys: Sequence[str] = (), label: str = "label", prob
     A row with an undefined score (null or NaN) is predicted 0: it is in the confusion counts and in
     ``n_rows``, in no bin, and leaves its group without AUC and log loss.
     """
-    counts = _score_counts(df, keys, label, proba)
+    return evaluate_counts(score_counts(df, keys, label, proba), keys, threshold)
+
+
+def evaluate_counts(counts: DataFrame, keys: Sequence[str] = (), threshold: float = config.SCORE_THRESHOLD) -> DataFrame:
+    """``evaluate`` of a table of distinct scores: keys, score, pos, neg. Several rows of one score are as good as one."""
     score, pos, neg = F.col("score"), F.col("pos"), F.col("neg")
     hit = hard_label(score, threshold) == 1
     extra = [

@@ -90,13 +90,18 @@ def monitoring_report(predictions: DataFrame, labels: DataFrame, offset: int = c
     everyone = with_baseline(score_histogram(scored, KEYS), ["model_name"], "snapshot_date")
     if period:
         everyone, scored = in_range(everyone, *period), in_range(scored, *period)
-    observed = evaluate(join_labels(scored, labels, offset), KEYS, threshold=threshold).withColumnsRenamed(
-        {"bins": "joined_bins", "n_rows": "joined_rows", "threshold": "joined_threshold"})
+    observed = evaluate(join_labels(scored, labels, offset), KEYS, threshold=threshold)
     label_months = labels.select(F.col("snapshot_date").alias("label_date")).distinct().withColumn(
         "has_labels", F.lit(True))
-    rows = (everyone.withColumn("label_date", F.add_months("snapshot_date", offset))
-            .join(label_months, "label_date", "left").join(observed, KEYS, "left"))
+    everyone = everyone.withColumn("label_date", F.add_months("snapshot_date", offset)).join(label_months, "label_date", "left")
+    return assembled(everyone, observed, limits, threshold, strict_psi)
 
+
+def assembled(everyone: DataFrame, observed: DataFrame, limits: config.Thresholds = config.Thresholds(),
+              threshold: float = config.SCORE_THRESHOLD, strict_psi: bool = False) -> DataFrame:
+    """The report from one row per model and snapshot: histograms with their baseline and ``has_labels``, and metrics."""
+    rows = everyone.join(observed.withColumnsRenamed(
+        {"bins": "joined_bins", "n_rows": "joined_rows", "threshold": "joined_threshold"}), KEYS, "left")
     has_labels = F.coalesce(F.col("has_labels"), F.lit(False))
     joined_rows = F.coalesce(F.col("joined_rows"), F.lit(0))
     rows = rows.withColumns({

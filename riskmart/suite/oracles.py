@@ -725,3 +725,5 @@ margin as (select avg(start + case when x <= edge then -gl / (hl + 1) else -(ga
 select cast(f as int) as feature, round(edge, 6) + 0.0 as threshold, round(-gl / (hl + 1), 6) + 0.0 as left_weight,
   round(-(ga - gl) / (ha - hl + 1), 6) + 0.0 as right_weight, n_rows, round(mean_margin, 6) + 0.0 as mean_margin
 from best, margin"""
+
+ORACLES["monitoring_incremental"] = ORACLES["monitoring_report"]

@@ -10,7 +10,7 @@ from riskmart.functions.cleaning import nan_to_null
 from riskmart.functions.dates import month_calendar, snapshot_tag, tag_date
 from riskmart.operators import checks, drift, metrics, models, prep, quality, readiness, report, silver, stats
 from riskmart.operators.trees import HistogramTrees
-from riskmart.plans import medallion, monitoring, scoring, training
+from riskmart.plans import incremental, medallion, monitoring, scoring, training
 from riskmart.session import new_path, tune, written
 from riskmart.sources import feeds, history, predictions as prediction_table, registry, snapshots
 from riskmart.suite import tables
@@ -492,6 +492,15 @@ def monitoring_period(spark, sf_dir):
     return monitoring.monitoring_report(stored, tables.observed_labels(spark, sf_dir), period=("2024-01-10", "2024-01-15"))
 
 
+@query
+def monitoring_incremental(spark, sf_dir):
+    """The same report from a state that was brought up to date twice: with the labels of the first days, then with all."""
+    stored, labels = tables.stored_predictions(spark, sf_dir), tables.observed_labels(spark, sf_dir)
+    state = incremental.State(new_path(spark, "score-state"))
+    incremental.update(stored, labels.where("snapshot_date <= date'2024-07-12'"), state)
+    return incremental.monitor(stored, labels, state)[0]
+
+
 @query
 def threshold_checks(spark, sf_dir):
     """Checks with an index of 0 reported as OK."""
