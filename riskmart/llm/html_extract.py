@@ -5,12 +5,13 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from riskmart.llm.common import bounded_sample, per_text, pick
+from riskmart.llm.common import per_text, pick
 
 #: Pages whose blocks the training layouts are filled with at most: a sample by id hash.
 SAMPLED_PAGES = 300
@@ -49,8 +50,12 @@ LANDMARKS = ("article", "main", "nav", "header", "footer", "aside", "form", "sec
 
 GROUP = {word: i for i, words in enumerate(TOKENS.values()) for word in words.split()}
 HASHED = 24
-PIECES = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.S)
-ATTRIBUTE = re.compile(r"([a-zA-Z_:][\w:.-]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+NAME = re.compile(r"[a-zA-Z][^\t\n\f\r />]*")
+ATTRIBUTE = re.compile(r"[\t\n\f\r /]*(=?[^\t\n\f\r />=]*)")
+EQUALS = re.compile(r"[\t\n\f\r ]*=[\t\n\f\r ]*")
+UNQUOTED = re.compile(r"[^\t\n\f\r >]*")
+COMMENT_END = re.compile(r"--!?>")
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\t\n\f\r />])", re.I) for tag in RAW}
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
@@ -64,6 +69,65 @@ class Node:
     inside: list = field(default_factory=list)
 
 
+def tokens(page: str):
+    """(text, tag, end, attributes, own_end) in page order: text, with tag None, or a start or end tag.
+
+    One pass by the states of an HTML tokenizer: quotes count in attribute values only, a comment ends at ``-->``,
+    ``--!>`` or at once, what scripts and the like hold is no markup, and a tag that the page ends in is none. Apart from
+    browsers, a quote that nothing closes ends at the next ``>``, so that the rest of the page is not lost."""
+    at, size, last = 0, len(page), {q: page.rfind(q) for q in "\"'"}
+    while at < size:
+        low = page.find("<", at)
+        if low < 0:
+            yield page[at:], None, False, {}, False
+            return
+        if low > at:
+            yield page[at:low], None, False, {}, False
+        following = page[low + 1:low + 2]
+        end = following == "/"
+        name = NAME.match(page, low + 1 + end)
+        if name is None:
+            if page.startswith("<!--", low):
+                if page.startswith((">", "->"), low + 4):
+                    at = page.find(">", low + 4) + 1
+                else:
+                    close = COMMENT_END.search(page, low + 4)
+                    at = close.end() if close else size
+            elif following in ("!", "?") or end and low + 2 < size:
+                at = page.find(">", low + 1) + 1 or size
+            else:
+                yield "<", None, False, {}, False
+                at = low + 1
+            continue
+        attributes, own_end, at = {}, False, name.end()
+        while at < size and page[at] != ">":
+            key = ATTRIBUTE.match(page, at)
+            at = key.end()
+            own_end = page[at - 1] == "/"
+            if not key[1]:
+                continue  # at the end of the tag or of the page
+            equals, value = EQUALS.match(page, at), ""
+            if equals:
+                at = equals.end()
+                quote = page[at:at + 1]
+                if quote in last and quote:
+                    close = page.find(quote, at + 1) if last[quote] > at else page.find(">", at)
+                    close = size if close < 0 else close
+                    value, at = page[at + 1:close], close + (last[quote] > at)
+                else:
+                    bare = UNQUOTED.match(page, at)
+                    value, at = bare[0], bare.end()
+            attributes.setdefault(key[1].lower(), value)
+        if at >= size:
+            return  # the page ends in the tag
+        at += 1
+        tag = name[0].lower()
+        yield "", tag, end, attributes, own_end
+        if not end and tag in RAW and not own_end:
+            close = RAW_END[tag].search(page, at)
+            at = page.find(">", close.end()) + 1 or size if close else size
+
+
 def parse(page: str) -> list[Node]:
     """Block-level elements in page order; inline elements dissolve into their block, unseen ones vanish with all that is
     in them.
@@ -71,27 +135,19 @@ def parse(page: str) -> list[Node]:
     Text in links is kept apart as ('a', text)."""
     nodes = [Node("html", {}, -1, 0)]
     stack: list[tuple[str, int]] = [("html", 0)]  # open elements: tag, block it belongs to
-    skip_until, links = None, 0
+    links = 0
     hidden = None  # where in the stack the outermost unseen element is
-    for m in PIECES.finditer(page):
-        tag = m[2]
+    for piece, tag, end, attributes, own_end in tokens(page):
         if tag is None:
-            piece = m[0]
-            if skip_until is None and (piece[0] != "<" or piece == "<"):
-                if hidden is not None:
-                    if stack[hidden][0] != "head" or len(stack) > hidden + 1 or not piece.strip():
-                        continue
-                    del stack[hidden:]
-                    hidden = None
-                text = entities.unescape(piece) if "&" in piece else piece
-                nodes[stack[-1][1]].inside.append(("a", text) if links else text)
-            continue
-        tag = tag.lower()
-        if skip_until is not None:
-            if m[1] and tag == skip_until:
-                skip_until = None
+            if hidden is not None:
+                if stack[hidden][0] != "head" or len(stack) > hidden + 1 or not piece.strip():
+                    continue
+                del stack[hidden:]
+                hidden = None
+            text = entities.unescape(piece) if "&" in piece else piece
+            nodes[stack[-1][1]].inside.append(("a", text) if links else text)
             continue
-        if m[1]:
+        if end:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == tag:
                     links -= sum(t == "a" for t, _ in stack[i:hidden])
@@ -112,7 +168,6 @@ def parse(page: str) -> list[Node]:
                 del stack[hidden:]  # ends without an end tag
                 hidden = None
         if tag in RAW:
-            skip_until = tag if not m[3].rstrip().endswith("/") else None
             continue
         if tag in VOID:
             if hidden is None:
@@ -123,12 +178,12 @@ def parse(page: str) -> list[Node]:
                 nodes[stack[-1][1]].inside.append(" ")
                 hidden = len(stack)
             stack.append((tag, stack[-1][1]))
-            if m[3].rstrip().endswith("/") and any(t in ("svg", "math") for t, _ in stack[hidden:]):
+            if own_end and any(t in ("svg", "math") for t, _ in stack[hidden:]):
                 stack.pop()  # only these have elements that end where they begin
                 hidden = hidden if len(stack) > hidden else None
             continue
         if tag in ("html", "body") and len(stack) == 1 and tag == "html":
-            nodes[0].attributes = _attributes(m[3])
+            nodes[0].attributes = attributes
             continue
         if tag in CLOSES_P:
             _close(stack, {"p"}, {"article", "section", "div", "td", "li", "table"})
@@ -140,7 +195,7 @@ def parse(page: str) -> list[Node]:
             links += tag == "a"
             stack.append((tag, owner))
         else:
-            nodes.append(Node(tag, _attributes(m[3]), owner, nodes[owner].depth + 1))
+            nodes.append(Node(tag, attributes, owner, nodes[owner].depth + 1))
             nodes[owner].inside.append(len(nodes) - 1)
             stack.append((tag, len(nodes) - 1))
     return nodes
@@ -155,12 +210,6 @@ def _close(stack: list, tags: set, scope: set) -> None:
             return
 
 
-def _attributes(text: str) -> dict:
-    if "=" not in text and not text.strip():
-        return {}
-    return {k.lower(): (v or "").strip("\"'") for k, v in ATTRIBUTE.findall(text)}
-
-
 def block_texts(node: Node) -> list[tuple[int | None, str]]:
     """(child, '') or (None, text) in page order; white space in a text is one space."""
     out, own = [], []
@@ -209,9 +258,9 @@ def described(nodes: list[Node]) -> np.ndarray:
         for k, y in enumerate(children):
             position[y], siblings[y] = k, len(children)
         if len(children) > 1:
-            kinds = [nodes[y].tag for y in children]
-            for y, kind in zip(children, kinds):
-                same[y] = kinds.count(kind) if len(kinds) < 50 else 50
+            kinds = Counter(nodes[y].tag for y in children)
+            for y in children:
+                same[y] = kinds[nodes[y].tag]
         if x.tag in LANDMARKS:
             tag[i] = LANDMARKS.index(x.tag)
         if x.attributes:
@@ -303,17 +352,9 @@ class Boosted:
         return out
 
 
-#: Elements that are no main text by their name, unless most of the page is in them.
-ASIDE = {"nav", "aside", "footer", "form", "dialog", "menu"}
-
-
 def rated(pages: list[list[Node]], trees: Boosted) -> list[np.ndarray]:
     """Log odds of each page's nodes."""
-    rows = [described(nodes) for nodes in pages]
-    odds = trees.log_odds(np.vstack(rows))
-    named = np.array([x.tag in ASIDE for nodes in pages for x in nodes])
-    small = np.concatenate([r[:, NUMBERS.index("of_page")] for r in rows]) < 0.5
-    odds = np.where(named & small, np.minimum(odds, -4), odds)
+    odds = trees.log_odds(np.vstack([described(nodes) for nodes in pages]))
     return np.split(odds, np.cumsum([len(nodes) for nodes in pages])[:-1])
 
 
@@ -400,12 +441,20 @@ class Layouts:
             parts = [self.snippet()]
         return self.el(tag, "".join(parts), 0, name)
 
+    def form(self) -> str:
+        """Labels, fields and words of advice, loose or in blocks, the form itself often without a telling name."""
+        parts = [self.snippet() if self.rng.random() < 0.7 else self.paragraph()]
+        for _ in range(self.rng.randint(0, 3)):
+            parts.append(self.rng.choice(["<input type=text>", "<input>", "<br>", self.el("label", self.snippet()), self.el("p", self.snippet(), 0),
+                                          "<button>x</button>"]))
+        return self.el("form", "".join(parts), 0, self.words("form") if self.rng.random() < 0.5 else "")
+
     def junk(self) -> str:
-        kind = self.rng.choice(["advert", "notice", "comment", "form", "side", "share", "menu", "frame"])
+        kind = self.rng.choice(["advert", "notice", "comment", "form", "form", "side", "share", "menu", "frame"])
         return {"advert": lambda: self.plain("advert", ["div", "aside", "section", "p"], 0.6),
                 "notice": lambda: self.plain("notice", ["div", "section", "aside"], 0.6),
                 "comment": lambda: self.plain("comment", ["div", "section", "ul", "article"], 0.8),
-                "form": lambda: self.el("form", self.snippet() + "<input type=text>" + self.el("label", self.snippet()), 0, self.words("form")),
+                "form": self.form,
                 "side": lambda: self.plain("side", ["aside", "div", "section"], 0.5),
                 "share": lambda: self.plain("share", ["div", "ul"], 0.1), "menu": self.menu,
                 "frame": lambda: self.plain("frame", ["footer", "header"], 0.4)}[kind]()
@@ -428,7 +477,7 @@ class Layouts:
                 blocks.append(self.el("pre", self.paragraph(), 1))
             else:
                 blocks.append(self.el("table", "".join(self.el("tr", self.el("td", self.snippet(), 1) * 2, 1) for _ in range(3)), 1))
-        for _ in range(rng.choice([0, 0, 1, 1, 2])):
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
             blocks.insert(rng.randrange(len(blocks) + 1), self.junk())
         if rng.random() < 0.2:
             blocks.append(self.plain("comment", ["div", "section"], 0.8))
@@ -486,7 +535,7 @@ def fit_pages(pages: list[str], layouts: int = LAYOUTS) -> Boosted:
         for node in nodes:
             for child, text in block_texts(node):
                 if child is None:
-                    (paragraphs if text.count(" ") >= 7 else snippets).append(text[:600])
+                    (paragraphs if text.count(" ") >= 7 else snippets).append(text)
     made = Layouts(sorted(set(paragraphs)), sorted(set(snippets)))
     for _ in range(layouts):
         nodes = parse(made.page())
@@ -501,8 +550,15 @@ def fit_pages(pages: list[str], layouts: int = LAYOUTS) -> Boosted:
 
 
 def fit(pages: DataFrame, limit: int = SAMPLED_PAGES, id_col: str = "page_id", html_col: str = "html") -> Boosted:
-    """Trees for a table of pages, from a sample of ``limit`` rows at most."""
-    rows = bounded_sample(pick(pages, id=id_col, html=html_col).where("html is not null"), "id", limit).limit(2 * limit).collect()
+    """Trees for a table of pages, from a sample of about ``limit`` of them, chosen by the hash of id and page.
+
+    Null pages are left out, equal pages count once, and ids may be null or repeated: the same table gives the same trees
+    whatever the order of its rows. An empty table gives the trees of built layouts alone."""
+    held = pick(pages, id=id_col, html=html_col).where("html is not null")
+    n, scale = held.count(), 1 << 40
+    if n > limit:
+        held = held.where(F.pmod(F.xxhash64("id", "html"), F.lit(scale)) < int(limit * scale / n))
+    rows = held.dropDuplicates(["html"]).collect()  # equal pages teach what one does
     rows.sort(key=lambda r: (str(r["id"]), r["html"]))
     return fit_pages([r["html"] for r in rows])
 

@@ -56,6 +56,43 @@ def test_unseen_elements_in_the_article(trees):
     assert text(page, trees) == "Head\n" + "\n".join(PARAGRAPHS[:6])
 
 
+def test_bad_markup_loses_no_text():
+    """What browsers make of quotes, comments and unfinished tags."""
+    assert whole("<p data-x=don't>First words.</p><p>Second, isn't it.</p><p>Third.</p>") == "First words.\nSecond, isn't it.\nThird."
+    assert whole("<p title=\"it's 5\" wide\">First.</p><p class=\"a\">Second.</p>") == "First.\nSecond."
+    assert whole('<p class="a>Second words.</p>') == "Second words."
+    assert whole("<p>a</p><!-- x --!><p>b</p>") == whole("<p>a</p><!--><p>b</p>") == whole("<p>a</p><!---><p>b</p>") == "a\nb"
+    assert whole("<p>a</p><!-- x -- > <p>y</p> --><p>b</p>") == whole("<p>a</p><!-- x\n--><p>b</p>") == "a\nb"
+    assert whole("a<!-- never closed <p>b") == whole("a<p b='c") == whole("a<div") == "a"
+    assert whole("<p/>a</><b / c=d/e =f ==g>b</b x='>'>c</p>") == "abc"
+    assert whole("2 < 3 & 4 <5 <<b>x</b>") == "2 < 3 & 4 <5 <x"
+    assert whole("<?php x ?><!doctype html><![CDATA[x]]>a</3>b") == "ab"
+    assert whole("<script>if (a<b && c=='x) </scripty> '</script >a<style><!-- </style>b<script>c") == "ab"
+    assert H.parse("<div ID='a>b' class = x\tdata-y checked id=z>t")[1].attributes == {"id": "a>b", "class": "x", "data-y": "", "checked": ""}
+
+
+def test_long_bad_markup_in_linear_time():
+    import time
+    for piece in ('<a b="c ', "<a b='", "<!-- ", "<p x=", "</", "<![", "<b / / ", "<script>", '"<i q=\'"'):
+        page = piece * ((1 << 20) // len(piece))
+        start = time.process_time()
+        H.parse(page)
+        assert time.process_time() - start < 6, piece
+
+
+def test_very_many_siblings():
+    nodes = H.parse("<ul>" + "<li>x" * 20000 + "<p>y</p></ul>")
+    same = H.described(nodes)[:, H.NUMBERS.index("same")]
+    assert sorted(set(same.tolist())) == [1.0, 20000.0]
+
+
+def test_sample_does_not_depend_on_order(spark):
+    rows = [(None if i % 3 else 5, f"<article><p>{PARAGRAPHS[i % 40]} {i % 70}</p></article>") for i in range(500)]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    one, two = (H.fit(p, limit=30) for p in (pages, pages.repartition(5)))
+    assert all((a == b).all() for a, b in zip(one.leaf, two.leaf))
+
+
 def test_settled_is_the_best_choice():
     nodes = H.parse("<div><p>a</p><section><p>b</p><p>c</p></section></div><div><p>d</p></div>")
     n = len(nodes)
