@@ -727,3 +727,9 @@ select cast(f as int) as feature, round(edge, 6) + 0.0 as threshold, round(-gl /
 from best, margin"""
 
 ORACLES["monitoring_incremental"] = ORACLES["monitoring_report"]
+
+ORACLES["atomic_rerun"] = sql("s_loans", f"""
+select 1 as version, {day("snapshot_date")}, count(*) as n_rows from s_loans group by snapshot_date
+union all
+select 2, {day("snapshot_date")}, count(*) from s_loans
+where year(snapshot_date) <> 1997 or (snapshot_date <> date '1997-03-01' and mob % 2 = 0) group by snapshot_date""")

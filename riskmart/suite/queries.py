@@ -13,6 +13,7 @@ from riskmart.operators.trees import HistogramTrees
 from riskmart.plans import incremental, medallion, monitoring, scoring, training
 from riskmart.session import new_path, tune, written
 from riskmart.sources import feeds, history, predictions as prediction_table, registry, snapshots
+from riskmart.sources.versions import VersionedTable
 from riskmart.suite import tables
 
 REGISTRY = {}
@@ -123,6 +124,17 @@ def rerun_covered_range(spark, sf_dir):
     return _rerun(spark, sf_dir, "snapshot_date <> date'1997-03-01'", ("1997-01-01", "1997-12-01"))
 
 
+@query
+def atomic_rerun(spark, sf_dir):
+    """The same re-run in a versioned table: rows per snapshot before and after it."""
+    loans = tables.silver_loans(spark, sf_dir)
+    held = VersionedTable(spark, new_path(spark, "versioned"), loans.schema)
+    held.replace(loans)
+    year = snapshots.in_range(loans, "1997-01-01", "1997-12-01").where("snapshot_date <> date'1997-03-01'")
+    held.replace(year.where("mob % 2 = 0"), covered=("1997-01-01", "1997-12-01"))
+    return held.counts()
+
+
 @query
 def snapshot_row_counts(spark, sf_dir):
     return quality.snapshot_counts(tables.loans(spark, sf_dir))
