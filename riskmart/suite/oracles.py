@@ -733,3 +733,20 @@ select 1 as version, {day("snapshot_date")}, count(*) as n_rows from s_loans gro
 union all
 select 2, {day("snapshot_date")}, count(*) from s_loans
 where year(snapshot_date) <> 1997 or (snapshot_date <> date '1997-03-01' and mob % 2 = 0) group by snapshot_date""")
+
+
+def _medians_of(source):
+    return f"select {', '.join(f'median(cast({c} as double)) as {c}' for c in FEATURES)} from {source}"
+
+
+CTES["train_rows"] = (("training",), "select * from training where split = 'train'")
+CTES["train_medians"] = (("train_rows",), _medians_of("train_rows"))
+ORACLES["imputed_train_scope"] = sql("training train_medians", f"""
+select t.loan_id, t.split, t.label, {", ".join(r6(f"coalesce(cast(t.{c} as double), m.{c})", c) for c in FEATURES)}
+from training t, train_medians m""")
+
+CTES["may_less"] = (("features",), "select * replace (case when month(snapshot_date) <> 5 then Monthly_Inhand_Salary end as Monthly_Inhand_Salary) from features")
+CTES["may_medians"] = (("may_less",), f"{_medians_of('may_less').replace('select ', 'select snapshot_date, ')} group by snapshot_date")
+ORACLES["imputed_batch_scope"] = sql("may_less may_medians train_medians", f"""
+select t.loan_id, t.Customer_ID, {day("t.snapshot_date")}, {", ".join(r6(f"coalesce(cast(t.{c} as double), b.{c}, m.{c})", c) for c in FEATURES)}
+from may_less t join may_medians b on t.snapshot_date = b.snapshot_date, train_medians m""")

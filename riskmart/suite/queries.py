@@ -9,6 +9,7 @@ from riskmart import config
 from riskmart.functions.cleaning import nan_to_null
 from riskmart.functions.dates import month_calendar, snapshot_tag, tag_date
 from riskmart.operators import checks, drift, metrics, models, prep, quality, readiness, report, silver, stats
+from riskmart.operators.imputer import MedianImputer, MedianImputerModel
 from riskmart.operators.trees import HistogramTrees
 from riskmart.plans import incremental, medallion, monitoring, scoring, training
 from riskmart.session import new_path, tune, written
@@ -358,6 +359,30 @@ def imputed_training_features(spark, sf_dir):
     return _imputed_training(spark, sf_dir)
 
 
+def _imputed_by(spark, sf_dir, scope, groups, rows):
+    """Rows filled by a fitted imputer that was saved and loaded again."""
+    train = _training(spark, sf_dir).where("split = 'train'")
+    fitted = MedianImputer(inputCols=list(tables.FEATURES), scope=scope, groupCols=groups).fit(train)
+    path = new_path(spark, "imputer")
+    fitted.save(path)
+    return MedianImputerModel.load(path).transform(rows)
+
+
+@query
+def imputed_train_scope(spark, sf_dir):
+    """All splits, missing values filled by the medians of the training split."""
+    rows = written(prep.train_matrix(_training(spark, sf_dir), tables.FEATURES), "matrix")
+    return _imputed_by(spark, sf_dir, "train", [], rows)
+
+
+@query
+def imputed_batch_scope(spark, sf_dir):
+    """Scoring matrix filled per snapshot, and by the training medians where a snapshot has no value."""
+    rows = prep.inference_matrix(tables.gold_features(spark, sf_dir), tables.FEATURES)
+    lacking = F.when(F.month("snapshot_date") != 5, F.col("Monthly_Inhand_Salary"))  # nobody's is known in May
+    return _imputed_by(spark, sf_dir, "batch", ["snapshot_date"], written(rows.withColumn("Monthly_Inhand_Salary", lacking), "matrix"))
+
+
 @query
 def scaler_stats(spark, sf_dir):
     return stats.scaler_stats(_imputed_training(spark, sf_dir).where("split = 'train'"), tables.FEATURES)
