@@ -5,14 +5,17 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from riskmart.llm.common import bounded_sample, per_text, pick
+from riskmart.session import written
 
 #: Labelled rows that the lexicon and the calibration learn from at most: a sample by id hash.
 LABELLED_ROWS = 20_000
@@ -95,7 +98,10 @@ class Lexicon:
             for last, (length, w) in automaton.iter(plain):
                 (spared if w is None else found).append((last + 1 - length, last + 1, w))
             if spared:
-                found = [x for x in found if not any(a <= x[0] and x[1] <= b for a, b, _ in spared)]
+                spared.sort()
+                starts, furthest = [a for a, _, _ in spared], list(accumulate((b for _, b, _ in spared), max))
+                # of the phrases that begin no later, the one that reaches furthest decides
+                found = [x for x in found if not (k := bisect_right(starts, x[0])) or furthest[k - 1] < x[1]]
             return n, len(found), float(sum(w for _, _, w in found))
         return score
 
@@ -179,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = LABELLED_ROWS) -> Lexic
 
     Without toxic or without other rows the lexicon is empty and the score is the same low one for all."""
     spark = docs.sparkSession
-    rows = training_rows(docs, labels, limit)
+    rows = written(training_rows(docs, labels, limit), "toxicity-sample")  # of bounded size, read by every step
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_pos, n_neg = sum(n for t, n in sizes.items() if t), sizes.get(0, 0)
     if not n_pos or not n_neg:

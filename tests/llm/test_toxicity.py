@@ -36,6 +36,37 @@ def test_folding():
     assert toxicity.folded("CL0WN $cum").split() == ["ciown", "scum"]
 
 
+def test_matcher_against_a_plain_scan():
+    """Every place of every term by string comparison, without those inside a phrase of the exceptions."""
+    rng = random.Random(3)
+    words = ["ab", "abc", "bad", "bader", "saint", "b", "c"]
+    for _ in range(300):
+        weights = {t: rng.random() for t in rng.sample([f" {w} " for w in words] + [f" {w}" for w in ("ba", "abc", "b")], 4)}
+        phrases = [f" {a} {b} " for a, b in rng.sample([(a, b) for a in words for b in words], rng.randint(0, 3))]
+        lexicon = toxicity.Lexicon(weights, phrases)
+        text = " ".join(rng.choice(words) for _ in range(rng.randint(0, 40)))
+        plain = f" {text} " if text else " "
+        inside = [(i, i + len(p)) for p in phrases for i in range(len(plain)) if plain.startswith(p, i)]
+        want = [w for t, w in weights.items() for i in range(len(plain)) if plain.startswith(t, i)
+                and not any(a <= i and i + len(t) <= b for a, b in inside)]
+        n, hits, weight = lexicon.scorer()(text)
+        assert (n, hits) == (len(text.split()), len(want)) and abs(weight - sum(want)) < 1e-9
+
+
+def test_score_is_the_calibrated_measure(spark):
+    """Scores of whole frames against the plain formula over a plain count."""
+    import math
+    lexicon = toxicity.Lexicon({" bad ": 2.0, " wors": 1.5}, [" not bad "], (-2.0, 0.7, 0.4))
+    texts = ["bad", "not bad at all", "worst bad day", "", None, "fine " * 300 + "bad", "not bad bad"]
+    counted = {"bad": (1, 2.0), "not bad at all": (4, 0.0), "worst bad day": (3, 3.5), "": (0, 0.0), None: (0, 0.0),
+               "fine " * 300 + "bad": (301, 2.0), "not bad bad": (3, 2.0)}
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for r in toxicity.score(docs, lexicon, keep=["doc_id"]).collect():
+        n, w = counted[texts[r.doc_id]]
+        p = 1 / (1 + math.exp(-(-2.0 + 0.7 * math.log1p(w) + 0.4 * math.log1p(100 * w / (n + 20)))))
+        assert abs(r.score - p) < 1e-12 and r.predicted == (p >= 0.3) and r.n_words == n
+
+
 def test_held_out_rows(spark):
     rows = corpus()
     docs, labels = frames(spark, rows)
