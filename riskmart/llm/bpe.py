@@ -14,8 +14,12 @@ from pyspark.sql import DataFrame
 
 from riskmart.llm.common import KINDS, documents
 
-#: Segments and pieces whose ids a worker keeps; the store is emptied when full, so memory stays bounded.
-KEPT = 400_000
+#: Segments and pieces whose ids a worker keeps, of so many characters at most; the store is emptied when full, so memory
+#: stays bounded.
+KEPT, SHORT = 400_000, 64
+#: Fixed value: the pattern of which is known that no match runs from another character into a space, so that texts may be
+#: cut before single spaces.
+CUTS_AT_SPACES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 class Coder:
@@ -26,7 +30,7 @@ class Coder:
     to shorter ones where neighbours clash; places found to lead nowhere are marked and never tried again."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        self.ranks, self.pattern = ranks, regex.compile(pattern)
+        self.ranks, self.pattern, self.cuts = ranks, regex.compile(pattern), pattern == CUTS_AT_SPACES
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.parts = {}  # token -> the two tokens whose merge it is
         self.matcher = ahocorasick.Automaton()
@@ -111,9 +115,9 @@ class Coder:
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers.
 
-        Matches of the pattern never run from a non-space into a space, so a text may be cut before each
+        Where the pattern's matches never run from a non-space into a space, a text may be cut before each
         single space and the parts looked up; with two spaces in a row the cut could fall inside a match."""
-        if "  " in text:
+        if not self.cuts or "  " in text:
             return b"".join([self._piece(p) for p in self.pattern.findall(text)])
         head, *rest = text.split(" ")
         out = [self._segment(head)] if head else []
@@ -125,9 +129,10 @@ class Coder:
 
     def _spaced(self, part: str) -> bytes:
         ids = self._segment(" " + part)
-        if len(self.segments) >= KEPT:
-            self.segments.clear()
-        self.segments[part] = ids
+        if len(part) <= SHORT:
+            if len(self.segments) >= KEPT:
+                self.segments.clear()
+            self.segments[part] = ids
         return ids
 
     def _segment(self, segment: str) -> bytes:
@@ -137,7 +142,7 @@ class Coder:
         ids = self.pieces.get(piece)
         if ids is None:
             ids = np.array(self.encode_piece(piece), "<u4").tobytes()
-            if len(piece) <= 64:
+            if len(piece) <= SHORT:
                 if len(self.pieces) >= KEPT:
                     self.pieces.clear()
                 self.pieces[piece] = ids

@@ -49,6 +49,25 @@ def test_small_store(coders, monkeypatch):
     assert ids_of(own.encode(text)) == other.encode_ordinary(text)
 
 
+def test_other_patterns(coders):
+    """Matches that run over spaces: texts are not cut there."""
+    ranks = coders[0].ranks
+    rng = random.Random(2)
+    for pattern in (r"\S+ \S+|\s|\S+", r"[a-z ]+|.", r"\s*\S+|\s+"):
+        own, other = bpe.Coder(ranks, pattern), tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        for _ in range(60):
+            text = " ".join(rng.choice(["the", "a", "word", "é", "12", ""]) for _ in range(rng.randint(0, 9)))
+            assert ids_of(own.encode(text)) == other.encode_ordinary(text), (pattern, text)
+
+
+def test_long_segments_are_not_kept(coders):
+    own, other = coders
+    text = " ".join("x1-" * 3000 + str(i) for i in range(5))
+    before = len(own.segments)
+    assert ids_of(own.encode(text)) == other.encode_ordinary(text) and len(own.segments) == before
+    assert bpe.CUTS_AT_SPACES == P.PATTERN
+
+
 def test_frames(spark, coders):
     rows = [(1, "Ab, cd  ef"), (None, "Ab, cd  ef"), (2, None), (2, ""), (3, "日本 語")]
     docs = spark.createDataFrame([(i, t, "x", 3) for i, t in rows], "doc_id long, text string, DECODED string, ids int")
