@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from riskmart.functions.cleaning import nan_to_null
+from riskmart.session import ship
 from riskmart.sources.snapshots import write_snapshots
 
 METRICS = ("accuracy", "precision", "recall", "f1_score", "threshold", "auc_roc", "log_loss")
@@ -63,15 +68,89 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RECORD_SCHEMA).json(path)
 
 
+_MARKS = re.compile(r'\\.|["{}\[\]]')
+_DEPTH = {"{": 1, "[": 1, "}": -1, "]": -1}
+#: Depth of a record: inside the document, its list, and its own braces.
+_RECORD = 3
+
+
+def _splits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, str]]:
+    """(file, start, text) of each byte range, its comma-separated pieces put together again."""
+    held, key = [], None
+    for batch in batches:
+        for file, start, value in zip(*(batch.column(c).to_pylist() for c in ("file", "start", "value"))):
+            if (file, start) != key:
+                if key:
+                    yield *key, ",".join(held)
+                held, key = [], (file, start)
+            held.append(value)
+    if key:
+        yield *key, ",".join(held)
+
+
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per byte range how far its brackets go in, counted as if it began outside of a string and inside of one, and whether
+    it has an odd number of quotes."""
+    for file, start, text in _splits(batches):
+        inside, depth = False, [0, 0]
+        for mark in _MARKS.finditer(text):
+            if mark[0] == '"':
+                inside = not inside
+            else:
+                depth[inside] += _DEPTH.get(mark[0], 0)
+        yield pa.RecordBatch.from_pydict({"file": [file], "start": [start], "outside": [depth[0]], "within": [depth[1]], "odd": [inside]})
+
+
+def _cut(begins: dict[tuple[str, int], tuple[int, bool]]):
+    def run(batches):
+        for file, start, text in _splits(batches):
+            depth, inside = begins[file, start]
+            first, whole, open_ = 0 if depth >= _RECORD else None, [], depth >= _RECORD
+            parts = []
+            for mark in _MARKS.finditer(text):
+                if mark[0] == '"':
+                    inside = not inside
+                elif not inside and mark[0] in _DEPTH:
+                    depth += _DEPTH[mark[0]]
+                    if mark[0] == "{" and depth == _RECORD:
+                        first = mark.start()
+                    elif mark[0] == "}" and depth == _RECORD - 1 and first is not None:
+                        (parts if open_ else whole).append(("end" if open_ else "whole", text[first:mark.end()]))
+                        first, open_ = None, False
+            if first is not None:
+                parts.append(("middle" if open_ else "begin", text[first:]))
+            rows = whole + parts
+            yield pa.RecordBatch.from_arrays([pa.array([file] * len(rows), pa.string()), pa.array([start] * len(rows), pa.int64()),
+                                              *[pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)]],
+                                             names=["file", "start", "kind", "text"])
+    return run
+
+
 def import_history(spark: SparkSession, path: str) -> DataFrame:
     """Records of history documents that hold their list under ``monitoring_history``.
 
-    Each such document is one JSON value and so one task; a growing history belongs in
-    ``append_history``.
+    A document is one JSON value, but it is read in byte ranges by many tasks: a first pass measures how deep each range
+    goes, so that the second knows in which depth each begins and cuts out whole records; a record that ranges share is
+    put together from its parts, of which a range has two at most. The driver gets a row per range. NaN stays NaN here and
+    is null in ``history_rows``. The document must have no other list of objects at that depth with the keys of a record.
     """
-    schema = T.StructType([T.StructField("monitoring_history", T.ArrayType(RECORD_SCHEMA))])
-    return (spark.read.schema(schema).json(path, multiLine=True)
-            .select(F.explode("monitoring_history").alias("r")).select("r.*"))
+    ship(spark)
+    pieces = spark.read.text(path, lineSep=",", recursiveFileLookup=True).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+    measured = pieces.mapInArrow(_measured, "file string, start long, outside long, within long, odd boolean").collect()
+    begins, last, depth, inside = {}, None, 0, False
+    for r in sorted(measured, key=lambda r: (r["file"], r["start"])):
+        if r["file"] != last:
+            last, depth, inside = r["file"], 0, False
+        begins[r["file"], r["start"]] = depth, inside
+        depth, inside = depth + (r["within"] if inside else r["outside"]), inside ^ r["odd"]
+    cut = pieces.mapInArrow(_cut(begins), "file string, start long, kind string, text string")
+    upto = Window.partitionBy("file").orderBy("start", F.expr("kind = 'begin'"))  # two rows of a range at most
+    parts = cut.where("kind <> 'whole'").withColumn("record", F.sum(F.expr("int(kind = 'begin')")).over(upto))
+    joined = parts.groupBy("file", "record").agg(F.array_join(F.array_sort(F.collect_list(F.struct("start", "text"))).getField("text"), ",").alias("text"))
+    texts = cut.where("kind = 'whole'").select("text").unionByName(joined.select("text"))
+    return (texts.select(F.from_json("text", RECORD_SCHEMA, {"allowNonNumericNumbers": "true"}).alias("r")).select("r.*")
+            .where("snapshot_date is not null and model_name is not null"))
 
 
 def write_records(records: DataFrame, path: str) -> None:

@@ -750,3 +750,5 @@ CTES["may_medians"] = (("may_less",), f"{_medians_of('may_less').replace('select
 ORACLES["imputed_batch_scope"] = sql("may_less may_medians train_medians", f"""
 select t.loan_id, t.Customer_ID, {day("t.snapshot_date")}, {", ".join(r6(f"coalesce(cast(t.{c} as double), b.{c}, m.{c})", c) for c in FEATURES)}
 from may_less t join may_medians b on t.snapshot_date = b.snapshot_date, train_medians m""")
+
+ORACLES["history_documents"] = ORACLES["history_flatten"]

@@ -576,6 +576,17 @@ def history_flatten(spark, sf_dir):
     return _history(spark, sf_dir)
 
 
+@query
+def history_documents(spark, sf_dir):
+    """The records of both runs as two JSON documents that hold a list each, imported."""
+    path = new_path(spark, "history-documents")
+    for records in _two_runs(spark, sf_dir):
+        one = records.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("r")).agg(
+            F.concat(F.lit('{"monitoring_history": [\n  '), F.array_join(F.collect_list("r"), ",\n  "), F.lit('\n], "last_updated": "now"}')))
+        one.write.mode("append").text(path)
+    return history.history_rows(history.import_history(spark, path))
+
+
 @query
 def history_append(spark, sf_dir):
     """A re-run adds its records: records per model and snapshot."""

@@ -67,6 +67,26 @@ def test_import_turns_nan_into_null(published):
     assert july.auc_roc is None and july.accuracy is None and july.psi == pytest.approx(1.380984602588345)
 
 
+@pytest.mark.parametrize("indent", [None, 2])
+def test_a_document_is_read_by_many_tasks(spark, tmp_path, indent):
+    """Byte ranges far smaller than a record, brackets and quotes in texts, several documents and further keys."""
+    wanted = []
+    for name in ("one", "two"):
+        held = document()
+        for k, record in enumerate(held["monitoring_history"]):
+            record["model_name"] = rf'{name} }}]", {{[ \" \\ é{k}'
+            wanted.append((record["snapshot_date"], record["model_name"], record["metrics"]["true_positives"], record["thresholds"]["auc_roc_min"]))
+        whole = {"version": {"list": [1, 2, {"a": []}]}, **held, "models": [{"name": "x, y"}]}
+        (tmp_path / f"{name}.json").write_text(json.dumps(whole, indent=indent, ensure_ascii=False), encoding="utf-8")
+    (tmp_path / "empty.json").write_text('{"monitoring_history": []}')
+    for size in (97, 1500, 1 << 20):
+        own = spark.newSession()
+        own.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        own.conf.set("spark.sql.files.openCostInBytes", "1")
+        found = history.import_history(own, str(tmp_path))
+        assert sorted((r.snapshot_date, r.model_name, r.metrics.true_positives, r.thresholds.auc_roc_min) for r in found.collect()) == sorted(wanted)
+
+
 def test_checks_reproduce_published_alerts(published):
     metrics = published.select("monitored_at", "auc_roc", "precision", "recall", "f1_score", "psi", "check_alert_level", "check_all_passed")
     for r in checks.with_checks(metrics).collect():
