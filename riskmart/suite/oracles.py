@@ -752,3 +752,11 @@ select t.loan_id, t.Customer_ID, {day("t.snapshot_date")}, {", ".join(r6(f"coale
 from may_less t join may_medians b on t.snapshot_date = b.snapshot_date, train_medians m""")
 
 ORACLES["history_documents"] = ORACLES["history_flatten"]
+
+_COUNTED = " union all ".join(
+    f"select '{layer}' as layer, '{name}' as table_name, count(*) as n_rows, count(*) - count(snapshot_date) as undated, "
+    f"strftime(min(snapshot_date), '%Y-%m-%d') as first_day, strftime(max(snapshot_date), '%Y-%m-%d') as last_day from {source}"
+    for layer, name, source in [(x, n, s) for x in ("bronze", "silver") for n, s in (
+        ("loan_daily", "loans"), ("attributes", "people"), ("financials", "money"), ("clickstream", "clicks"))]
+    + [("gold", "feature_store", "features"), ("gold", "label_store", "label_rows")])
+ORACLES["medallion_counts"] = sql("loans people money clicks features label_rows", _COUNTED)

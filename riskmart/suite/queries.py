@@ -241,6 +241,15 @@ def medallion_backfill(spark, sf_dir):
     return features.join(labels, "snapshot_date", "full")
 
 
+@query
+def medallion_counts(spark, sf_dir):
+    """What each write of a build put into its table, as counted while writing."""
+    log: list[medallion.Written] = []
+    medallion.backfill(spark, medallion.Mart(new_path(spark, "mart")), tables.feeds(spark, sf_dir), tables.COLUMNS, log=log)
+    rows = [(w.layer, w.table, w.n_rows, w.undated, w.first, w.last) for w in log]
+    return spark.createDataFrame(rows, "layer string, table_name string, n_rows long, undated long, first_day string, last_day string")
+
+
 # --- data quality -----------------------------------------------------------------------------
 
 @query
