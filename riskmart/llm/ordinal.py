@@ -102,15 +102,17 @@ def fit_rows(index: np.ndarray, value: np.ndarray, first: np.ndarray, grade: np.
 
 
 def graded(labels: DataFrame) -> DataFrame:
-    """(doc_id, grade) from the two marks: 0 poor, 1 good but toxic, 2 good. Rows without id or quality are left out;
-    of several rows of an id the lowest grade counts."""
+    """(doc_id, grade) from the two marks: 0 poor, 1 good but toxic, 2 good. That order is an assumption: the labels hold
+    no graded ratings, and a good text that is toxic is taken to be worth more than a poor one and less than a clean one.
+    Rows without id or quality are left out; of several rows of an id the lowest grade counts."""
     found = pick(labels, doc_id="doc_id", quality="quality", toxic="toxic").where("doc_id is not null and quality is not null")
     return (found.selectExpr("doc_id", "case when quality = 0 then 0 when coalesce(toxic, 0) <> 0 then 1 else 2 end grade")
             .groupBy("doc_id").agg(F.min("grade").alias("grade")))
 
 
 def fit(docs: DataFrame, ratings: DataFrame, grades: int = 3, limit: int = LABELLED_ROWS) -> Ordinal:
-    """Fit on at most ``limit`` rated rows (doc_id, grade); without any, all weights are 0."""
+    """Fit on at most ``limit`` rated rows (doc_id, grade); without any, all weights are 0. Null ids match nothing, a rating
+    counts for each row of its id, and columns beside ids and texts are not looked at."""
     chosen = bounded_sample(ratings, "doc_id", limit)
     rows = pick(docs, doc_id="doc_id", text="text").join(F.broadcast(chosen), "doc_id").select("text", "grade")
 

@@ -37,6 +37,61 @@ def test_accuracy_on_other_rows(spark):
         assert r.tails[0] >= r.tails[1] and abs(sum(r.tails) - r.expected_grade) < 1e-12 and r.selected == (r.tails[1] >= 0.5)
 
 
+def plain_fit(x, grade, grades, ridge, rounds=6000, rate=0.5):
+    """Penalised maximum likelihood by plain gradient descent, with each slope taken from the definition of the odds."""
+    n, w, theta = len(x), np.zeros(x.shape[1]), np.linspace(-0.5, 0.5, grades - 1)
+    for _ in range(rounds):
+        above = 1 / (1 + np.exp(-(x @ w)[:, None] + theta))  # P(grade > k)
+        upper, lower = np.c_[np.ones(n), above], np.c_[above, np.zeros(n)]
+        p = (upper - lower)[np.arange(n), grade]
+        d_upper, d_lower = upper * (1 - upper), lower * (1 - lower)
+        lean = (d_upper - d_lower)[np.arange(n), grade] / p
+        slope_theta = [sum(np.where(grade == k + 1, -above[:, k] * (1 - above[:, k]), 0) / p + np.where(grade == k, above[:, k] * (1 - above[:, k]), 0) / p)
+                       for k in range(grades - 1)]
+        w += rate * (x.T @ lean / n - ridge / 10 * w)
+        theta += rate * np.array(slope_theta) / n
+    return w, theta
+
+
+def test_fit_is_the_penalised_maximum():
+    rng = np.random.default_rng(5)
+    n, used = 400, [3, 700, ordinal.WORD_WEIGHTS + 2]
+    x = rng.normal(size=(n, 3))
+    lean = x @ np.array([1.2, -0.7, 0.4]) + rng.logistic(size=n)
+    grade = np.digitize(lean, [-1.0, 0.3, 1.5])
+    model = ordinal.fit_rows(np.tile(used, n), x.ravel(), np.arange(0, 3 * n + 1, 3), grade, 4, steps=3000)
+    w, theta = plain_fit(x, grade, 4, 2e-3)
+    assert np.abs(model.weights[used] - w).max() < 5e-3 and np.abs(model.thresholds - theta).max() < 5e-3
+    assert np.count_nonzero(model.weights) == 3
+
+
+def test_tails_are_calibrated_on_other_rows(spark):
+    """Grades with logistic noise around a share of words: of rows that were not fitted, the share above each grade is what
+    the tails say, by fifths of them."""
+    rng, noise = random.Random(6), np.random.default_rng(6).logistic(size=3000)
+    rows = []
+    for i in range(3000):
+        rude = rng.random() * 0.4
+        words = ["rude" if rng.random() < rude else f"w{rng.randrange(60)}" for _ in range(60)]
+        rows.append((i, " ".join(words), int(np.digitize(3 - 12 * words.count("rude") / 60 + noise[i], [0, 1.5]))))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").repartition(4)
+    model = ordinal.fit(docs, spark.createDataFrame([(i, g) for i, _, g in rows if i % 2], "doc_id long, grade int"))
+    got = {r.doc_id: r.tails for r in ordinal.grade(docs, model, keep=["doc_id"]).collect()}
+    for k in range(2):
+        pairs = sorted((got[i][k], g > k) for i, _, g in rows if i % 2 == 0)
+        for part in np.array_split(np.array(pairs, float), 5):
+            assert abs(part[:, 0].mean() - part[:, 1].mean()) < 0.09, (k, part.mean(axis=0))
+
+
+def test_ids_names_and_repeats(spark):
+    """Null ids are graded and not fitted, repeated rows count each, clashing names do not matter."""
+    rows = corpus(300)
+    docs = spark.createDataFrame([(i, t, "x") for i, t, _ in rows] + [(None, rows[0][1], "x"), (0, rows[0][1], "x")], "doc_id long, text string, GRADE string")
+    model = ordinal.fit(docs, spark.createDataFrame([(i, g) for i, _, g in rows] + [(None, 2)], "doc_id long, grade int"))
+    got = ordinal.grade(docs, model, keep=["doc_id", "GRADE"]).collect()
+    assert len(got) == 302 and len({r.expected_grade for r in got if r.doc_id in (0, None)}) == 1
+
+
 def test_grades_of_marks(spark):
     labels = spark.createDataFrame([(1, 0, 1), (2, 1, 1), (3, 1, 0), (4, 1, None), (5, None, 0), (None, 1, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
     assert {(r.doc_id, r.grade) for r in ordinal.graded(labels).collect()} == {(1, 0), (2, 1), (3, 0), (4, 2)}
