@@ -44,7 +44,7 @@ def test_auc_of_a_large_group_uses_many_tasks(spark):
         F.when(F.col("id") % 3 == 0, 0.5).otherwise(F.rand(5)).alias("prediction"), F.lit("g").alias("g"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        counts = metrics._score_counts(df, ["g"], "label", "prediction")
+        counts = metrics.score_counts(df, ["g"], "label", "prediction")
         chunks = metrics._by_score_chunk(counts, ["g"]).groupBy("chunk").count().collect()
         assert len(chunks) == 4 and max(r["count"] for r in chunks) < 0.4 * counts.count()
         rows = df.select("label", "prediction").toPandas()
