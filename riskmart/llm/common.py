@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-import riskmart
-from riskmart.session import tune
+from riskmart.session import ship, tune
 
 #: Odd multiplier of the polynomial hashes and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
@@ -21,23 +17,6 @@ INVERSE = pow(BASE, -1, 1 << 64)
 BATCH_ROWS = 200
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Give the executors' Python this package, once per application: they need not have it installed."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    package = Path(riskmart.__file__).parent
-    path = Path(tempfile.mkdtemp(prefix="riskmart-")) / "riskmart.zip"  # Spark fetches it from the driver
-    with zipfile.ZipFile(path, "w") as z:
-        for source in sorted(package.rglob("*.py")):
-            z.write(source, source.relative_to(package.parent))
-    context.addPyFile(str(path))
-    _shipped.add(context.applicationId)
-
-
 def prepared(spark: SparkSession) -> SparkSession:
     """Join settings, the package on the executors, and Arrow batches of few rows, since a row holds a whole text."""
     ship(spark)

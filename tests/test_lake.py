@@ -209,3 +209,23 @@ def test_samples_are_limited_before_the_shuffle(spark):
     df = spark.createDataFrame([("a_",)], "n string")
     plan = quality.non_numeric_samples(df, ["n"])._jdf.queryExecution().optimizedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_package_is_shipped_once_by_whatever_threads_and_operators_ask():
+    from concurrent.futures import ThreadPoolExecutor
+    from time import sleep
+    from types import SimpleNamespace
+
+    from riskmart.llm import common
+    from riskmart.session import ship
+
+    sent = []
+
+    def add(path):
+        sleep(0.1)
+        sent.append(path)
+
+    fake = SimpleNamespace(sparkContext=SimpleNamespace(applicationId="app-of-its-own", addPyFile=add))
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda f: f(fake), [ship, common.ship, ship, common.ship]))
+    assert len(sent) == 1
