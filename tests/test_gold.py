@@ -115,3 +115,11 @@ def test_matrices(spark):
         inference_matrix(df.drop("Customer_ID"), ["a"])
     labelled = df.withColumns({"split": F.lit("train"), "label": F.lit(1)})
     assert train_matrix(labelled, ("c", "zz", "b")).columns == ["loan_id", "split", "label", "c", "b"]
+
+
+def test_no_input_of_the_feature_store_passes_the_driver(spark):
+    """Small files may hold many customers, so their size alone is no reason to broadcast them."""
+    base = loans(spark, [("L1", "C1", "2023-01-01", 0, 0), ("L2", "C2", "2023-01-01", 0, 0)])
+    got = feature_store(base, *sides(spark, [("C1", "2023-01-01")]), columns=COLUMNS)
+    assert {(r.loan_id, r.fe_1) for r in got.collect()} == {("L1", 2.0), ("L2", None)}
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
