@@ -229,3 +229,13 @@ def test_package_is_shipped_once_by_whatever_threads_and_operators_ask():
     with ThreadPoolExecutor(4) as pool:
         list(pool.map(lambda f: f(fake), [ship, common.ship, ship, common.ship]))
     assert len(sent) == 1
+
+
+def test_feed_files_are_compressed_and_bounded(spark, monkeypatch):
+    monkeypatch.setattr(snapshots, "_FEED_ROWS", 400)
+    path = new_path(spark, "feed")
+    snapshots.write_feed(spark.range(0, 1000, 1, 1).selectExpr("cast(id as string) as k", "'the same words in every row' as words"), path)
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(files) == 3 and all(f.endswith(".csv.gz") for f in files)
+    back = snapshots.read_feed(spark, path, ["k", "words"])
+    assert back.count() == 1000 and back.select("k").distinct().count() == 1000
