@@ -123,3 +123,13 @@ def test_no_input_of_the_feature_store_passes_the_driver(spark):
     got = feature_store(base, *sides(spark, [("C1", "2023-01-01")]), columns=COLUMNS)
     assert {(r.loan_id, r.fe_1) for r in got.collect()} == {("L1", 2.0), ("L2", None)}
     assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_training_set_broadcasts_no_labels(spark):
+    """Labels have a row per loan; their small files would pass the driver many times as large."""
+    features = spark.createDataFrame([("L1", "2023-01-01"), ("L2", "2023-02-01")], "loan_id string, d string").selectExpr("loan_id", "date(d) as snapshot_date")
+    labels = spark.createDataFrame([("L1", 1, "2023-07-01")], "loan_id string, label int, d string").selectExpr("loan_id", "label", "date(d) as snapshot_date")
+    for how, n in (("inner", 1), ("left", 2)):
+        joined = training_set(features, labels, how=how)
+        assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == n
