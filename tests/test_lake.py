@@ -1,6 +1,7 @@
 """Feeds, partitioned tables, readiness, predictions, quality."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from riskmart.functions.dates import range_calendar, snapshot_tag, tag_date
 from riskmart.operators import quality, readiness
 from riskmart.plans.monitoring import join_labels, prediction_snapshots, unmatched_keys
-from riskmart.session import new_path, scratch, shared_dir, tune, written
+from riskmart.session import MART_SETTINGS, new_path, scratch, shared_dir, tune, written
 from riskmart.sources import predictions, snapshots
 from riskmart.streaming.landing import land_feed, landed
 
@@ -239,3 +240,20 @@ def test_feed_files_are_compressed_and_bounded(spark, monkeypatch):
     assert len(files) == 3 and all(f.endswith(".csv.gz") for f in files)
     back = snapshots.read_feed(spark, path, ["k", "words"])
     assert back.count() == 1000 and back.select("k").distinct().count() == 1000
+
+
+def test_shuffle_files_of_a_write_go_when_it_ends(spark):
+    own = tune(spark.newSession(), MART_SETTINGS)
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {f.getName() for f in (held.apply(i) for held in [blocks.getAllFiles().toIndexedSeq()] for i in range(held.size()))
+                if f.getName().startswith("shuffle_")}
+    before, path = files(), new_path(spark, "tidy")
+    snapshots.write_snapshots(own.range(1000).selectExpr("id", "cast(date'2023-01-01' + cast(id % 3 as int) as date) as snapshot_date"), path)
+    until = time.time() + 20  # the removal is asked for, not awaited
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert own.read.parquet(path).count() == 1000
+    assert all(f.endswith(".zstd.parquet") or not f.endswith(".parquet") for _, _, names in os.walk(path) for f in names)
